@@ -25,6 +25,7 @@ from urbanpulse.operators import gold, quality, silver
 from urbanpulse.session import configure
 from urbanpulse.sources import bronze as B
 from urbanpulse.sources.fixture import telemetry_messages
+from urbanpulse.sources.tables import spread
 
 
 class Lakehouse:
@@ -53,7 +54,7 @@ class Lakehouse:
 
     @cached_property
     def messages(self) -> DataFrame:
-        return telemetry_messages(self.table("events"))
+        return telemetry_messages(spread(self.table("events")))
 
     @cached_property
     def bronze(self) -> DataFrame:

@@ -1,0 +1,25 @@
+"""Reading input tables with enough parallelism (S7 helpers).
+
+A Parquet file with one row group is read by one task.  At cluster scale
+inputs have thousands of splits and nothing needs doing; a small input made
+of a few large row groups, however, would run every stage before the first
+shuffle on a single core.  ``spread`` checks the number of input splits at
+plan time (no job runs) and only then adds a round-robin repartition.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Repartition round-robin only when the source has too few splits."""
+    spark = df.sparkSession
+    target = min_partitions or spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
+
+
+def read_parquet(spark: SparkSession, path: str, min_partitions: int | None = None) -> DataFrame:
+    return spread(spark.read.parquet(path), min_partitions)
