@@ -18,7 +18,9 @@ from urbanpulse import schemas as S
 from urbanpulse.functions import features as X
 from urbanpulse.functions.columns import count_if, flag, pct, round_half_up
 
-_ALL = Window.partitionBy()  # over the (small) aggregated result only
+def _all():
+    """Window over the whole (small, already aggregated) result."""
+    return Window.partitionBy()
 
 
 def _share(count_col: str, total: Column) -> Column:
@@ -70,7 +72,7 @@ def kpi_hourly_curve(fact: DataFrame) -> DataFrame:
         "vehicle_count",
         round_half_up("avg_congestion", 2).alias("avg_congestion"),
         round_half_up("avg_speed", 2).alias("avg_speed_kmh"),
-        _share("vehicle_count", F.sum("vehicle_count").over(_ALL)).alias("pct_of_daily_volume"),
+        _share("vehicle_count", F.sum("vehicle_count").over(_all())).alias("pct_of_daily_volume"),
     ).orderBy("event_hour", "period_type")
 
 
@@ -82,7 +84,7 @@ def kpi_dlq_root_cause(dlq: DataFrame) -> DataFrame:
                 F.max("quarantine_ts").alias("last_detected_at")))
     return out.withColumn(
         "pct_of_total_anomalies",
-        _share("total_rejected_events", F.sum("total_rejected_events").over(_ALL)),
+        _share("total_rejected_events", F.sum("total_rejected_events").over(_all())),
     ).orderBy(F.col("total_rejected_events").desc(), "quarantine_reason")
 
 
@@ -93,7 +95,7 @@ def kpi_fleet_mix(fact: DataFrame) -> DataFrame:
                 F.count(F.lit(1)).alias("_rows"),
                 round_half_up(F.avg("speed_kmh"), 2).alias("avg_fleet_speed"),
                 round_half_up(F.avg("congestion_level"), 2).alias("avg_zone_congestion")))
-    return (out.withColumn("fleet_share_pct", _share("fleet_count", F.sum("_rows").over(_ALL)))
+    return (out.withColumn("fleet_share_pct", _share("fleet_count", F.sum("_rows").over(_all())))
             .drop("_rows")
             .orderBy(F.col("fleet_count").desc(), "vehicle_type"))
 
@@ -139,9 +141,9 @@ def dlq_reason_counts(evaluated: DataFrame) -> DataFrame:
     sums over those few rows.
     """
     per_status = evaluated.groupBy("dq_status").agg(F.count(F.lit(1)).alias("n"))
-    total = F.sum("n").over(_ALL)
-    bad = F.sum(F.when(F.col("dq_status") != S.STATUS_VALID, F.col("n")).otherwise(0)).over(_ALL)
-    good = F.sum(F.when(F.col("dq_status") == S.STATUS_VALID, F.col("n")).otherwise(0)).over(_ALL)
+    total = F.sum("n").over(_all())
+    bad = F.sum(F.when(F.col("dq_status") != S.STATUS_VALID, F.col("n")).otherwise(0)).over(_all())
+    good = F.sum(F.when(F.col("dq_status") == S.STATUS_VALID, F.col("n")).otherwise(0)).over(_all())
     return (per_status
             .select(F.col("dq_status").alias("quarantine_reason"),
                     F.col("n").alias("rows"),

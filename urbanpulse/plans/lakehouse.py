@@ -126,8 +126,7 @@ class Lakehouse:
         stored.quarantine.write.mode("overwrite").parquet(paths["quarantine"])
         with_silver = Lakehouse(self.spark, self.sf_dir, self.clock, self._processed_at,
                                 {"bronze": paths["bronze"], "silver": paths["silver"]})
-        (with_silver.fact.write.mode("overwrite").partitionBy(*gold.FACT_PARTITIONS)
-         .parquet(paths["fact_traffic"]))
+        gold.write_fact(with_silver.fact, paths["fact_traffic"])
         with_silver.dim_zone.coalesce(1).write.mode("overwrite").parquet(paths["dim_zone"])
         with_silver.dim_road.coalesce(1).write.mode("overwrite").parquet(paths["dim_road"])
         with_silver.dim_roads_mart.coalesce(1).write.mode("overwrite").parquet(paths["dim_roads_mart"])
