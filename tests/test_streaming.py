@@ -81,3 +81,13 @@ def test_insert_if_absent_is_idempotent(spark, scratch_dir):
     jobs.insert_if_absent(batch, path, "k")  # replayed micro-batch
     jobs.insert_if_absent(spark.createDataFrame([("C", 3), ("A", 9)], "k string, v int"), path, "k")
     assert _rows(spark.read.parquet(path)) == [("A", 1), ("B", 2), ("C", 3)]
+
+
+def test_late_arrivals_batch_equals_join_form(spark):
+    from urbanpulse.operators import silver
+    lh = Lakehouse(spark, SF_SMALL)
+    joined = silver.late_arrivals(lh.valid, silver.dedup_first(silver.on_time_rows(lh.valid)))
+    one_pass = silver.late_arrivals_batch(lh.valid)
+    keys = ["kafka_partition", "kafka_offset"]
+    assert _rows(one_pass.select(*keys)) == _rows(joined.select(*keys))
+    assert one_pass.count() > 0

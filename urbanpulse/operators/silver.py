@@ -86,3 +86,22 @@ def late_arrivals(valid: DataFrame, silver: DataFrame,
     AQE turns the join into a broadcast when silver's key set is small.
     """
     return dedup_first(valid, keys).join(silver.select(*keys), list(keys), "left_anti")
+
+
+def late_arrivals_batch(valid: DataFrame, clock: Column | str = "kafka_timestamp",
+                        delay: str = S.DEDUP_WATERMARK,
+                        keys: Sequence[str] = DEDUP_KEYS, order: str = "kafka_offset") -> DataFrame:
+    """Batch form of J5 when silver is derived from the same rows: the keys
+    none of whose rows arrived within ``delay``, one row each (lowest offset).
+
+    Equal to ``late_arrivals(valid, dedup_first(on_time_rows(valid)))`` but
+    one grouped pass (partial aggregation, skew-safe) and no join.
+    """
+    on_time = (F.col("event_ts") >= col_of(clock) - F.expr(f"INTERVAL {delay}")).cast("int")
+    rest = [c for c in valid.columns if c not in keys]
+    grouped = (valid.groupBy(*keys)
+               .agg(F.min_by(F.struct(*[F.col(c) for c in rest]), F.col(order)).alias("_row"),
+                    F.max(on_time).alias("_on_time")))
+    return (grouped.where(F.coalesce(F.col("_on_time"), F.lit(0)) == 0)
+            .select(*keys, *[F.col("_row").getField(c).alias(c) for c in rest])
+            .select(*valid.columns))
