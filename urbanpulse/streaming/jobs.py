@@ -191,13 +191,26 @@ def table_paths(root: str) -> dict[str, str]:
              "dim_zone", "dim_road", "agg_hourly_congestion")}
 
 
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def use_rocksdb_state(spark: SparkSession) -> None:
+    """Keep streaming state (dedup keys, open windows) in RocksDB on local
+    disk with checkpointed changelogs instead of the JVM heap.  Must be set
+    before a query's first run (the provider is recorded in its checkpoint)."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+
+
 def run_chain(spark: SparkSession, messages: DataFrame, root: str, clock: str = "kafka_timestamp",
               delay: str = S.DEDUP_WATERMARK, max_files_per_trigger: int = 1,
-              rollup: bool = False) -> dict[str, str]:
+              rollup: bool = False, rocksdb_state: bool = True) -> dict[str, str]:
     """Bronze -> silver/quarantine -> gold, each layer an ``availableNow``
     query over the previous layer's table (T5).  Rerunning with the same
     ``root`` resumes every layer from its checkpoint: only new input is read.
     """
+    if rocksdb_state:
+        use_rocksdb_state(spark)
     paths = table_paths(root)
     start_bronze(messages, root).awaitTermination()
     bronze_in = B.read_table_stream(spark, paths["traffic_bronze"], bronze_schema(spark),

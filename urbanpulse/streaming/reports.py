@@ -68,6 +68,12 @@ def _stream_append(lh):
     return _read(lh, "traffic_bronze").drop("ingestion_ts")
 
 
+@report("bronze_ingest", BATCH["bronze_parse"][1])
+def _bronze_ingest(lh):
+    """S1 on a replayed message stream (a Kafka topic needs the connector jar)."""
+    return _read(lh, "traffic_bronze").drop("ingestion_ts")
+
+
 @report("stream_table_read", BATCH["quarantine"][1])
 def _stream_table_read(lh):
     return _read(lh, "traffic_quarantine")
