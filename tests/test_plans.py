@@ -58,3 +58,23 @@ def test_hot_key_dedup_is_exact(spark):
     out = silver.dedup_first(df.repartition(8))
     assert out.count() == 601
     assert out.where("vehicle_id = 'HOT'").first()["kafka_offset"] == 4701
+
+
+def test_partition_pruning_and_pushdown_on_stored_fact(spark, scratch_dir):
+    import os
+    from pyspark.sql import functions as F
+    from urbanpulse.operators import gold, kpis
+    lh = Lakehouse(spark, SF_SMALL)
+    path = os.path.join(scratch_dir, "fact")
+    gold.write_fact(lh.fact, path)
+    fact = spark.read.parquet(path)
+    pruned = fact.where((F.col("event_date") == F.lit("2024-01-15").cast("date"))
+                        & F.col("event_hour").between(8, 11))
+    text = plan_text(pruned)
+    assert "PartitionFilters: [isnotnull(event_date" in text and "event_hour" in text
+    detail = kpis.zone_detail(fact, gold.dim_zone(lh.silver), "cbd")
+    assert "EqualTo(city_zone,CBD)" in plan_text(detail)
+    # One file per date/hour directory.
+    files = fact.inputFiles()
+    dirs = {os.path.dirname(f) for f in files}
+    assert len(files) == len(dirs)
