@@ -42,13 +42,21 @@ def checkpoint_dir(spark: SparkSession) -> str:
     On a cluster this is set by the deployment (a shared file system); only
     when it is unset (local tests) do we create a scratch folder.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    current = spark.conf.get("spark.checkpoint.dir", None)
+    if not current:
+        try:
+            current = spark.sparkContext.getCheckpointDir()
+        except Exception:  # noqa: BLE001  (no SparkContext, e.g. Spark Connect)
+            current = None
     if current:
         return current
     local = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     spark.conf.set("spark.checkpoint.dir", local)
-    spark.sparkContext.setCheckpointDir(local)
-    return spark.sparkContext.getCheckpointDir() or local
+    try:
+        spark.sparkContext.setCheckpointDir(local)
+        return spark.sparkContext.getCheckpointDir() or local
+    except Exception:  # noqa: BLE001
+        return local
 
 
 def local_session(cores: int | None = None, shuffle_partitions: int | None = None,

@@ -14,11 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Repartition round-robin only when the source has too few splits."""
-    spark = df.sparkSession
-    target = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001  (no RDD view, e.g. a Spark Connect session)
         return df
-    return df.repartition(target)
+    return df if splits >= target else df.repartition(target)
 
 
 def read_parquet(spark: SparkSession, path: str, min_partitions: int | None = None) -> DataFrame:
