@@ -62,5 +62,6 @@ def flag(cond: Column) -> Column:
 
 
 def count_if(cond: Column) -> Column:
-    """Conditional count as a partial-aggregatable SUM of a 0/1 flag (bigint)."""
-    return F.sum(flag(cond)).cast("bigint")
+    """Rows where ``cond`` holds (bigint; 0 on empty input, NULL conditions
+    not counted).  A plain COUNT, so it aggregates partially map-side."""
+    return F.count(F.when(cond, F.lit(1)))
