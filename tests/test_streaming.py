@@ -91,3 +91,11 @@ def test_late_arrivals_batch_equals_join_form(spark):
     keys = ["kafka_partition", "kafka_offset"]
     assert _rows(one_pass.select(*keys)) == _rows(joined.select(*keys))
     assert one_pass.count() > 0
+
+
+def test_silver_records_late_keys(spark):
+    from urbanpulse.operators import silver
+    lh = Lakehouse(spark, SF_SMALL)
+    keys = ["kafka_partition", "kafka_offset"]
+    flagged = lh.silver.where("arrived_late = 1").select(*keys)
+    assert _rows(flagged) == _rows(silver.late_arrivals_batch(lh.valid).select(*keys))

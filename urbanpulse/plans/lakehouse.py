@@ -76,7 +76,7 @@ class Lakehouse:
     @cached_property
     def silver(self) -> DataFrame:
         stored = self._stored("silver")
-        return stored if stored is not None else silver.silver_clean(self.evaluated)
+        return stored if stored is not None else silver.silver_clean(self.evaluated, clock=self.clock)
 
     @cached_property
     def quarantine(self) -> DataFrame:
