@@ -226,8 +226,10 @@ def run_chain(spark: SparkSession, messages: DataFrame, root: str, clock: str =
         # The rollup reads the silver table (few files per micro-batch), not
         # the fact sink, whose date/hour partitioning splits each micro-batch
         # into hundreds of small files; the fact is a projection of silver.
-        silver_again = B.read_table_stream(spark, paths["traffic_silver"], silver_schema,
-                                           max_files_per_trigger=max_files_per_trigger)
+        # No file cap: every file of a silver micro-batch spans that batch's
+        # whole time range, so splitting one across rollup triggers would
+        # advance the watermark early and drop on-time rows.
+        silver_again = B.read_table_stream(spark, paths["traffic_silver"], silver_schema)
         start_hourly_rollup(gold.fact_traffic(silver_again), spark.read.parquet(paths["dim_road"]),
                             root).awaitTermination()
     return paths
