@@ -9,10 +9,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, simhash
+from . import decontaminate, digest, quality, secrets, simhash, suffixes, tokens
 from .common import sha256_hex, table
 
 
+def op3_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document that repeat 100 bytes from earlier."""
+    found = suffixes.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), length=100)
+    removed = F.aggregate("removed", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"])
+    return found.select(
+        "doc_id", F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"),
+        removed.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"),
+        sha256_hex(F.col("kept")).alias("kept_sha256"))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document: 3-word shingles, 3 bits."""
     found = simhash.classes(table(spark, sf_dir, "documents"), shingle=3, seed=42, max_bits=3)
@@ -31,7 +41,49 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         (n_hit > 0).alias("contaminated"))
 
 
-QUERIES = {f.__name__: f for f in (op4_simhash, op5_decontaminate)}
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document: base patterns and what the trained field adds."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secrets.scan(docs, secrets.fit(docs))
+
+    def joined(only_base: bool):
+        spans = F.filter("spans", lambda s: s["kind"] != "crf") if only_base else F.col("spans")
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(
+            ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+    def number(kind: str):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [number(k) for k in ("assign", "access", "hex")]
+    return found.select("doc_id", *counts, sha256_hex(joined(True)).alias("base_sha256"),
+                        joined(False).alias("spans"))
+
+
+def op8_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram token count of every document."""
+    vocabulary, _ = tokens.load_vocabulary()
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = tokens.count_tokens(docs, tokens.UnigramCounter(vocabulary))
+    return found.select("doc_id", F.length(F.coalesce("text", F.lit(""))).cast("long").alias("n_chars"),
+                        "n_tokens")
+
+
+def op9_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digest of every document, its edited text and its successor."""
+    return digest.successors(table(spark, sf_dir, "documents"))
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    return (docs.withColumn("score", quality.score(model))
+            .select("doc_id", quality.held_out().alias("held_out"), "score",
+                    (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted")))
+
+
+QUERIES = {f.__name__: f for f in (op3_suffixes, op4_simhash, op5_decontaminate, op7_secrets, op8_tokens,
+                                   op9_digest, op10_quality)}
 
 SQL: dict[str, str] = {
     "op5_decontaminate": r"""

@@ -297,7 +297,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                              fingerprint(text_col, shingle, seed).alias("fp")), "simhash-docs")
     distinct = marked.select("fp").distinct()
     forest = link_forest(distinct, max_bits, max_group)
-    roots = components(forest).select(F.col("node").alias("fp"), F.col("root").alias("class_fp"))
+    # written tables on the small side: Spark can then split a hot fingerprint's rows
+    roots = cut(components(forest).select(F.col("node").alias("fp"), F.col("root").alias("class_fp")),
+                "simhash-roots")
     return (marked.join(roots, "fp", "left")
             .select("doc_id", "text_hash", "fp", F.coalesce("class_fp", "fp").alias("class_fp")))
 
@@ -305,7 +307,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def classes(docs: DataFrame, **settings) -> DataFrame:
     """``near_duplicates`` with ``component_id``, the smallest id of the class."""
     rows = cut(near_duplicates(docs, **settings), "simhash-classes")
-    least = rows.groupBy("class_fp").agg(F.min("doc_id").alias("component_id"))
+    least = cut(rows.groupBy("class_fp").agg(F.min("doc_id").alias("component_id")), "simhash-least")
     return rows.join(least, "class_fp")
 
 
