@@ -75,6 +75,12 @@ def text_hash(text_col: str = "text") -> Column:
     return F.xxhash64(whole_text(text_col))
 
 
+def twin_hash(docs: DataFrame, id_col: str, text_col: str = "text") -> Column:
+    """``text_hash`` where some id occurs more than once, else 0 (nothing to tell apart)."""
+    repeated = docs.groupBy(F.col(id_col)).count().where("count > 1")
+    return F.lit(0).cast("long") if repeated.isEmpty() else text_hash(text_col)
+
+
 def sha256_hex(col: Column) -> Column:
     return F.sha2(col, 256)
 

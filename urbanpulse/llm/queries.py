@@ -9,10 +9,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, digest, quality, secrets, simhash, suffixes, tokens
+from . import decontaminate, digest, licenses, lines, mixing, quality, secrets, simhash, suffixes, tokens
 from .common import sha256_hex, table
 
 
+def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence sentences and licences of every document."""
+    found = licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", F.array_join("sentence_ids", ",").alias("sentence_ids"),
+                        F.array_join("licenses", ",").alias("licenses"),
+                        F.size(F.filter("sentence_ids", lambda x: x == "?")).cast("long").alias("n_unknown"))
+
+
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place of every document in the mix of the production weights."""
+    plan = mixing.schedule(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return plan.select("doc_id", "mix_source", "block", "release", "deadline", "slot", "offset", "in_mix")
+
+
 def op3_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of every document that repeat 100 bytes from earlier."""
     found = suffixes.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), length=100)
@@ -41,6 +55,14 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         (n_hit > 0).alias("contaminated"))
 
 
+def op6_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeated runs of lines of at least 50 words, deleted from every document but the first."""
+    found = lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), min_words=50)
+    return found.select("doc_id", "n_lines", lines.n_removed().alias("n_removed"),
+                        F.size("removed").cast("long").alias("n_runs"),
+                        sha256_hex(F.coalesce("text", F.lit(""))).alias("kept_sha256"))
+
+
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every document: base patterns and what the trained field adds."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -82,10 +104,90 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                     (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted")))
 
 
-QUERIES = {f.__name__: f for f in (op3_suffixes, op4_simhash, op5_decontaminate, op7_secrets, op8_tokens,
+QUERIES = {f.__name__: f for f in (op1_licenses, op2_mixing, op3_suffixes, op4_simhash, op5_decontaminate, op6_lines, op7_secrets, op8_tokens,
                                    op9_digest, op10_quality)}
 
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _license_sql() -> str:
+    """The sentence and rule tables are fixed values; cutting, naming and matching are written in SQL."""
+    name = []
+    for label, pattern in licenses.SENTENCES:
+        whole = _quoted(f"^(?:{pattern})$")
+        value = f"{_quoted(label)} || regexp_extract(s, {whole}, 1)" if label.endswith(":") else _quoted(label)
+        name.append(f"when regexp_matches(s, {whole}) then {value}")
+    keywords = _quoted(licenses.KEYWORDS)
+    breaks = " || ".join(f"chr({ord(c)})" for c in licenses.BREAKS)
+    rounds, before = [], "seq"
+    for k, (licence, pattern) in enumerate(licenses.RULES):
+        p = _quoted(pattern)
+        rounds.append(f"""r{k} as (select doc_id, regexp_replace(rest, {p}, '|', 'g') as rest,
+  case when regexp_matches(rest, {p}) and not list_contains(found, {_quoted(licence)})
+       then list_append(found, {_quoted(licence)}) else found end as found from {before})""")
+        before = f"r{k}"
+    return f"""
+with t as (select doc_id, translate(coalesce(text, ''), {breaks}, '      ') as x from documents),
+parts as (
+  select doc_id, string_split(regexp_replace(regexp_replace(x, {_quoted(licenses.JOIN_LINE)}, '\\1 \\2', 'g'),
+                              {_quoted(licenses.END_SENTENCE)}, '\\1' || chr(10), 'g'), chr(10)) as p from t),
+told as (
+  select doc_id, list_transform(list_filter(p, lambda x: regexp_matches(lower(x), {keywords})), lambda x:
+    replace(trim(regexp_replace(regexp_replace(lower(x), {_quoted(licenses.MARKS)}, '', 'g'),
+            '[ \\t]+', ' ', 'g'), ' '), 'licence', 'license')) as ss from parts),
+ids as (
+  select doc_id, i, case {' '.join(name)} else '?' end as id
+  from (select doc_id, generate_subscripts(ss, 1) as i, unnest(ss) as s from told)),
+agg as (select doc_id, list(id order by i) as l from ids group by doc_id),
+seq as (select doc_id, array_to_string(list_transform(l, lambda x: '<' || x || '>'), '') as rest,
+               cast([] as varchar[]) as found from agg),
+{','.join(rounds)}
+select t.doc_id, coalesce(array_to_string(agg.l, ','), '') as sentence_ids,
+       coalesce(array_to_string({before}.found, ','), '') as licenses,
+       cast(coalesce(len(list_filter(agg.l, lambda x: x = '?')), 0) as bigint) as n_unknown
+from t left join agg using (doc_id) left join {before} using (doc_id)
+"""
+
+
 SQL: dict[str, str] = {
+    "op1_licenses": _license_sql(),
+    "op2_mixing": """
+with recursive w(k, s, a) as (
+  select unnest(range(1, 22)), unnest(list_concat(['src0'], list_concat(
+           list_transform(range(1, 20), lambda x: 'src' || x), ['*']))),
+         unnest(list_concat([20], list_concat(list_concat(
+           list_transform(range(1, 10), lambda x: 5), list_transform(range(10, 20), lambda x: 3)), [5])))),
+l as (select list(a order by k) as a, list(s order by k) as s from w),
+-- one period: the earliest deadline among the blocks that are released
+sim(t, n, p, j) as (
+  select -1, list_transform(range(0, 21), lambda x: 0), 0, 0
+  union all
+  select t + 1, list_transform(n, lambda x, i: x + case when i = q then 1 else 0 end), q, n[q]
+  from (select sim.t, sim.n, list_sort(list_transform(
+          list_filter(range(1, 22), lambda i: sim.n[i] < l.a[i] and (sim.n[i] * 100) // l.a[i] <= sim.t + 1),
+          lambda i: {'d': ((sim.n[i] + 1) * 100 + l.a[i] - 1) // l.a[i], 'i': i}))[1].i as q
+        from sim, l where sim.t < 99)),
+period as (select w.s, w.a, sim.j, sim.t from sim join w on w.k = sim.p where sim.t >= 0),
+d as (
+  select doc_id, text, length(coalesce(text, '')) as n,
+         cast('0x' || md5(coalesce(cast(doc_id as varchar), ''))[1:15] as bigint) as o,
+         case when source in (select s from w where s <> '*') then source else '*' end as s
+  from documents),
+c as (
+  select *, cast(coalesce(sum(n) over (partition by s order by o, doc_id
+                 rows between unbounded preceding and 1 preceding), 0) as bigint) as before from d),
+b as (select c.*, before // 65536 as block from c),
+size as (select w.s, w.a, coalesce(sum(n), 0) as total from w left join d on d.s = w.s group by w.s, w.a),
+gap as (
+  select min(m // size.a * 100 + period.t) as g
+  from (select *, cast((total + 65535) // 65536 as bigint) as m from size) size
+  join period on period.s = size.s and period.j = m % size.a)
+select b.doc_id, b.s as mix_source, b.block, b.block * 100 // p.a as release,
+       ((b.block + 1) * 100 + p.a - 1) // p.a as deadline, b.block // p.a * 100 + p.t as slot,
+       b.before as "offset", b.block // p.a * 100 + p.t < gap.g as in_mix
+from b join period p on p.s = b.s and p.j = b.block % p.a cross join gap
+""",
     "op5_decontaminate": r"""
 with d as (
   select doc_id, regexp_extract_all(
@@ -115,5 +217,35 @@ select d.doc_id, cast(len(d.w) as bigint) as n_words, cast(coalesce(hw.n_hit, 0)
        cast(coalesce(hi.n_items, 0) as bigint) as n_items, sha256(coalesce(hi.ids, '')) as items_sha256,
        coalesce(hw.n_hit, 0) > 0 as contaminated
 from d left join hw using (doc_id) left join hi using (doc_id)
+""",
+    "op6_lines": r"""
+with t as (select doc_id, coalesce(text, '') as text from documents),
+raw as (select doc_id, string_split(text, chr(10)) as ls from t),
+l as (
+  select doc_id, i, ls[i] as raw_line, regexp_replace(ls[i], '^[ \t\n\v\f\r]+|[ \t\n\v\f\r]+$', '', 'g') as line
+  from (select doc_id, ls, unnest(range(1, len(ls) + 1)) as i from raw)),
+w as (
+  select *, case when line = '' then 0 else len(string_split_regex(line, '[ \t\v\f\r]+')) end as n from l),
+c as (
+  select *, sum(n) over (partition by doc_id order by i rows unbounded preceding) as upto from w),
+-- the window of a line ends where the words from its start on reach 50
+e as (
+  select a.doc_id, a.i, min(b.i) as j
+  from c a join c b on a.doc_id = b.doc_id and b.i >= a.i and b.upto >= a.upto - a.n + 50
+  group by a.doc_id, a.i),
+k as (
+  select e.doc_id, e.i, e.j, string_agg(c.line, chr(10) order by c.i) as key
+  from e join c on c.doc_id = e.doc_id and c.i between e.i and e.j group by e.doc_id, e.i, e.j),
+late as (
+  select doc_id, i, j from (select *, row_number() over (partition by key order by doc_id, i) as r from k) where r > 1),
+gone as (select distinct c.doc_id, c.i from late join c on c.doc_id = late.doc_id and c.i between late.i and late.j),
+m as (
+  select c.doc_id, c.i, c.raw_line, gone.i is not null as g,
+         coalesce(lag(gone.i is not null) over (partition by c.doc_id order by c.i), false) as p
+  from c left join gone on c.doc_id = gone.doc_id and c.i = gone.i)
+select doc_id, count(*) as n_lines, cast(count(case when g then 1 end) as bigint) as n_removed,
+       cast(count(case when g and not p then 1 end) as bigint) as n_runs,
+       sha256(coalesce(string_agg(raw_line, chr(10) order by i) filter (where not g), '')) as kept_sha256
+from m group by doc_id
 """,
 }
