@@ -7,8 +7,9 @@ Conventions
   but differ in text are different documents, ordered by the hash.
 * A null text is the empty text.  A null ``doc_id`` is an id of its own that
   sorts first.
-* Operators take the names of the id and text columns, add columns whose names
-  start with ``_`` only inside their own plan, and leave other columns alone.
+* Operators take the names of the id and text columns.  Inside a plan the columns
+  of the input have neutral names (``seal``), so none of them can clash with a
+  column that the operator adds; result columns replace columns of the same name.
 """
 
 from __future__ import annotations
@@ -65,6 +66,22 @@ def cut(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def seal(docs: DataFrame, *columns: str):
+    """``docs`` with neutral column names, the new names of ``columns``, and the way back.
+
+    ``unseal(df, *results)`` restores the names and appends the result columns.
+    """
+    names = docs.columns
+    low = [n.lower() for n in names]
+    inner = docs.toDF(*(f"_c{i}" for i in range(len(names))))
+
+    def unseal(df: DataFrame, *results: str) -> DataFrame:
+        new = {r.lower() for r in results}
+        return df.select(*(F.col(f"_c{i}").alias(n) for i, n in enumerate(names) if low[i] not in new), *results)
+
+    return inner, [f"_c{low.index(c.lower())}" for c in columns], unseal
+
+
 def whole_text(text_col: str = "text") -> Column:
     """The text; empty where null."""
     return F.coalesce(F.col(text_col).cast("string"), F.lit(""))

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import cut, texts, whole_text
+from .common import cut, seal, texts, whole_text
 
 SLICE_BYTES = 32 << 20
 _TABLE_BITS = 22
@@ -148,7 +148,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
                              whole_text(item_text_col).alias("text")).where("item is not null and text <> ''")
     size = items.agg(F.sum(F.octet_length("text") + F.octet_length("item"))).first()[0] or 0
     slices = max(1, math.ceil(size / slice_bytes))
-    rows = docs.drop("n_words", "hit", "items", "_text").withColumn("_text", whole_text(text_col))
+    docs, (text_col,), unseal = seal(docs, text_col)
+    rows = docs.withColumn("_text", whole_text(text_col))
     for k in range(slices):
         # at most about slice_bytes: the hash deals items evenly
         part = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(slices)) == k).distinct().collect()
@@ -158,7 +159,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
         rows = rows.mapInArrow(_scanner(grams, k == 0), schema)
         if k + 1 < slices:
             rows = cut(rows, "leaks")
-    return rows.drop("_text")
+    return unseal(rows, "n_words", "hit", "items")
 
 
 def n_hit_words(hit: str = "hit"):
@@ -167,7 +168,10 @@ def n_hit_words(hit: str = "hit"):
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **settings) -> DataFrame:
     """The rows of ``docs`` without a hit."""
-    return find_leaks(docs, benchmark, **settings).where(F.size("hit") == 0).select(*docs.columns)
+    names = docs.columns
+    sealed, _, unseal = seal(docs)
+    settings["text_col"] = f"_c{names.index(settings.get('text_col', 'text'))}"
+    return unseal(find_leaks(sealed, benchmark, **settings).where(F.size("hit") == 0))
 
 
 def cut_spans(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **settings) -> DataFrame:
@@ -176,6 +180,7 @@ def cut_spans(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **s
     A line feed takes the place of a run, so that no new window can arise.  Texts
     without a hit are unchanged.
     """
+    docs, (text_col,), unseal = seal(docs, text_col)
     found = find_leaks(docs, benchmark, text_col=text_col, **settings)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -199,4 +204,4 @@ def cut_spans(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **s
             columns[at] = pa.array(out, type=batch.schema.field(at).type)
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
 
-    return found.mapInArrow(run, found.schema).select(*docs.columns)
+    return unseal(found.mapInArrow(run, found.schema))

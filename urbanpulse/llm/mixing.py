@@ -33,7 +33,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, text_hash, whole_text
+from .common import cut, seal, text_hash, whole_text
 
 OTHER = "*"
 SLOTS = 100
@@ -126,13 +126,13 @@ def schedule(docs: DataFrame, weights: dict[str, float] | None = None, id_col: s
 
 
 def mix(docs: DataFrame, weights: dict[str, float] | None = None, id_col: str = "doc_id",
-        text_col: str = "text", **settings) -> DataFrame:
+        text_col: str = "text", source_col: str = "source", **settings) -> DataFrame:
     """``docs`` in the order of the mix, with mix_source, slot, mix_offset and in_mix (replaced if there)."""
-    plan = cut(schedule(docs, weights, id_col, text_col, **settings).select(
+    docs, (id_col, text_col, source_col), unseal = seal(docs, id_col, text_col, source_col)
+    plan = cut(schedule(docs, weights, id_col, text_col, source_col, **settings).select(
         F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "mix_source", "slot",
         F.col("offset").alias("mix_offset"), "in_mix"), "mix-plan")
     same = F.col(id_col).eqNullSafe(F.col("_id")) & (text_hash(text_col) == F.col("_hash"))
-    docs = docs.drop("mix_source", "slot", "mix_offset", "in_mix")
     order = ["slot", "mix_offset", id_col]
-    return (docs.join(plan, same).drop("_id", "_hash")
-            .repartitionByRange(*order).sortWithinPartitions(*order))
+    return unseal(docs.join(plan, same).repartitionByRange(*order).sortWithinPartitions(*order),
+                  "mix_source", "slot", "mix_offset", "in_mix")

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from .common import texts, whole_text
+from .common import seal, texts, whole_text
 
 MAX_ROWS = 8_000
 THRESHOLD = 0.7
@@ -245,4 +245,5 @@ def score(model: Model, text_col: str = "text") -> Column:
 def keep_good(docs: DataFrame, model: Model, text_col: str = "text",
               threshold: float = THRESHOLD) -> DataFrame:
     """The rows that score at least ``threshold``."""
-    return docs.withColumn("_score", score(model, text_col)).where(F.col("_score") >= threshold).drop("_score")
+    docs, (text_col,), unseal = seal(docs, text_col)
+    return unseal(docs.where(score(model, text_col) >= threshold))

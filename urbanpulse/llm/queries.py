@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, digest, licenses, lines, mixing, quality, secrets, simhash, suffixes, tokens
+from . import decontaminate, digest, licenses, lines, mixing, quality, secret_field, simhash, suffixes, tokens
 from .common import sha256_hex, table
 
 
@@ -66,7 +66,7 @@ def op6_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every document: base patterns and what the trained field adds."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = secrets.scan(docs, secrets.fit(docs))
+    found = secret_field.scan(docs, secret_field.fit(docs))
 
     def joined(only_base: bool):
         spans = F.filter("spans", lambda s: s["kind"] != "crf") if only_base else F.col("spans")

@@ -33,8 +33,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import texts, whole_text
+from .common import seal, texts, whole_text
 
 ASSIGN = re.compile(rb"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?"
                     rb"([A-Za-z0-9+/_.=-]+)", re.IGNORECASE)
@@ -423,7 +424,8 @@ def find_spans(documents: list[bytes], chain: Chain | None) -> list[list[tuple[i
 
 def scan(docs: DataFrame, chain: Chain | None, text_col: str = "text") -> DataFrame:
     """``docs`` with ``spans`` (kind, start, end), by start, then kind; a column of that name is replaced."""
-    rows = docs.drop("spans", "_text").withColumn("_text", whole_text(text_col))
+    docs, (text_col,), unseal = seal(docs, text_col)
+    rows = docs.withColumn("_text", whole_text(text_col))
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -432,6 +434,5 @@ def scan(docs: DataFrame, chain: Chain | None, text_col: str = "text") -> DataFr
             value = pa.array([[{"kind": KINDS[k], "start": s, "end": e} for s, k, e in x] for x in spans], kind)
             yield pa.RecordBatch.from_arrays([*batch.columns, value], names=[*batch.schema.names, "spans"])
 
-    from pyspark.sql import types as T
     schema = T.StructType([*rows.schema.fields, *T._parse_datatype_string(FOUND).fields])
-    return rows.mapInArrow(run, schema).drop("_text")
+    return unseal(rows.mapInArrow(run, schema), "spans")

@@ -41,7 +41,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from .common import cut, text_hash, texts, whole_text
+from .common import cut, seal, text_hash, texts, whole_text
 
 BITS = 64
 FANOUT = 8
@@ -316,6 +316,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
 
     A null id sorts first.  Of rows equal in id and text, one stays.
     """
+    docs, (id_col, text_col), unseal = seal(docs, id_col, text_col)
     rows = cut(near_duplicates(docs, id_col, text_col, **settings), "simhash-classes")
     first = (rows.groupBy("class_fp").agg(F.min(F.struct("doc_id", "text_hash")).alias("k"))
              .select("k.doc_id", "k.text_hash"))
@@ -328,6 +329,6 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     single = docs.join(keep.where("_times = 1"), same, "left_semi")
     repeated = keep.where("_times > 1")
     if repeated.isEmpty():
-        return single
-    return single.unionByName(docs.join(repeated, same).dropDuplicates(["_id", "_hash"])
-                              .select(*(docs[c] for c in docs.columns)))
+        return unseal(single)
+    return unseal(single.unionByName(docs.join(repeated, same).dropDuplicates(["_id", "_hash"])
+                                     .select(*docs.columns)))
