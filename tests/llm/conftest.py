@@ -1,0 +1,19 @@
+import os
+import sys
+import tempfile
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
+import edge  # noqa: E402
+
+
+@pytest.fixture(scope="session")
+def edge_dir(spark):
+    return edge.write_tables(spark, tempfile.mkdtemp(prefix="run-"))
+
+
+@pytest.fixture(scope="session")
+def empty_dir(spark):
+    return edge.write_tables(spark, tempfile.mkdtemp(prefix="run-"), empty=True)

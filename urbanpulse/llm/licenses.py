@@ -37,6 +37,7 @@ SENTENCES = [
     ("APACHE:", f"{_THIS}(?:licensed|released|distributed|available|made available|provided) {_UNDER}{_ART}apache license,? ?(?:version |v)?([0-9.]+)(?: \\(the license\\))?"),
     ("APACHE-NOTICE", "you may not use this (?:file|work|software) except in compliance with the license"),
     ("APACHE-COPY", "you may obtain a copy of the license at.*"),
+    ("APACHE-URL", "<?https?://www\\.apache\\.org/licenses/.*"),
     ("APACHE-AS-IS", "unless required by applicable law or agreed to in writing,? software distributed under the license is distributed on an as is basis,? without warranties or conditions of any kind.*"),
     ("APACHE-SEE", "see the license for the specific language governing permissions and limitations under the license"),
     ("MIT-REF", f"{_THIS}(?:licensed|released|distributed|available|made available|provided) {_UNDER}{_ART}(?:mit|x11|expat) license(?:.*)?"),
@@ -67,7 +68,7 @@ SENTENCES = [
 ]
 
 # Ordered licence rules over the sequence "<id><id>...": (licence, pattern).
-_APACHE_REST = "(?:<APACHE-NOTICE>|<APACHE-COPY>|<APACHE-AS-IS>|<APACHE-SEE>)"
+_APACHE_REST = "(?:<APACHE-NOTICE>|<APACHE-COPY>|<APACHE-URL>|<APACHE-AS-IS>|<APACHE-SEE>)"
 _BSD_REST = "(?:<BSD-WARRANTY>)?(?:<BSD-LIABLE>|<MIT-LIABLE>)?"
 _GPL_REST = "(?:<GPL-HOPE>)?(?:<GPL-SEE>)?(?:<GPL-COPY>)?"
 RULES = [
