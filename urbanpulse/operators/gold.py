@@ -12,6 +12,8 @@ of exhausting executor memory.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,18 +27,17 @@ FACT_COLUMNS = ["vehicle_id", "road_id", "city_zone", "speed_kmh", "congestion_l
 FACT_PARTITIONS = ["event_date", "event_hour"]
 
 
-def write_fact(fact: DataFrame, path: str, num_tasks: int | None = None) -> None:
-    """Write the fact partitioned by date and hour.
+def write_fact(fact: DataFrame, path: str, partition_by: Sequence[str] = FACT_PARTITIONS) -> None:
+    """Write a whole table partitioned by date and hour.
 
-    Rows are first range-partitioned on (date, hour): each writer task then
-    holds a contiguous run of partitions and writes one file per directory
-    it touches, instead of every task writing a small file into every
-    directory.  Range (not hash) partitioning splits a very large hour over
-    several tasks, so a hot hour does not land in one task.
+    ``rebalance`` gathers each (date, hour) in one task, so that a directory gets
+    one file instead of one per task; AQE cuts a partition that exceeds
+    ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` into several tasks and joins
+    small ones, so the number of tasks follows the bytes and a hot hour is split.
+    The overwrite is static: partitions that the new table lacks go.
     """
-    n = num_tasks or int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    (fact.repartitionByRange(n, *FACT_PARTITIONS).sortWithinPartitions(*FACT_PARTITIONS)
-     .write.mode("overwrite").partitionBy(*FACT_PARTITIONS).parquet(path))
+    (fact.hint("rebalance", *partition_by).write.mode("overwrite")
+     .option("partitionOverwriteMode", "static").partitionBy(*partition_by).parquet(path))
 
 
 def fact_traffic(silver: DataFrame) -> DataFrame:

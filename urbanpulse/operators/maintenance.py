@@ -1,115 +1,119 @@
 """Table maintenance as Spark jobs on Parquet tables (V1-V6).
 
 There is no transaction log here: a versioned table is an append-only
-Parquet table whose rows carry ``commit_id`` / ``committed_at`` (added by
-``with_commit``).  History, time travel, restore and retention are row
-operations on those columns.  They give no concurrent-writer isolation.
+Parquet table whose loads are tagged by the sink that writes them
+(``append_load``: ``commit_id``, ``committed_at``, ``operation``).  History, time
+travel, restore and retention are row operations on those columns.  They give no
+concurrent-writer isolation.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+TARGET_BYTES = 128 << 20
 
 
 # ---------------------------------------------------------------------------
 # V1 compaction, V2 Z-order clustering
 # ---------------------------------------------------------------------------
-def compact(df: DataFrame, path: str, num_files: int,
-            partition_by: Sequence[str] | None = None,
-            sort_by: Sequence[str] | None = None) -> None:
-    """Rewrite ``df`` into about ``num_files`` files at ``path`` (V1).
-
-    Range partitioning on (partition columns, sort columns) keeps each
-    output partition directory in few files while splitting a very large
-    date or hour across several tasks (a hash repartition on the partition
-    columns would put a hot date in one task).
-    """
-    keys = list(partition_by or []) + list(sort_by or [])
-    out = df.repartitionByRange(num_files, *keys) if keys else df.repartition(num_files)
-    if keys:
-        out = out.sortWithinPartitions(*keys)
-    writer = out.write.mode("overwrite")
+def file_count(stored: DataFrame, target_bytes: int = TARGET_BYTES) -> int:
+    """Files of about ``target_bytes`` for a stored table, from the size of its files."""
+    size = int(stored._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return max(1, math.ceil(size / target_bytes))
+
+
+def _tie(df: DataFrame) -> Column:
+    """A number that spreads rows with equal keys: range partitioning alone keeps them together."""
+    return F.xxhash64(*df.columns)
+
+
+def _overwrite(df: DataFrame, path: str, partition_by: Sequence[str] | None = None) -> None:
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
 
 
-def _string_order_key(c: Column) -> Column:
-    padded = F.rpad(F.substring(c.cast("string"), 1, 7), 7, "\u0000")
-    return F.conv(F.hex(padded), 16, 10).cast("long")
-
-
-def z_bucket_bounds(df: DataFrame, columns: Sequence[str], bits: int = 8,
-                    string_columns: Sequence[str] = ()) -> dict[str, list]:
-    """Approximate quantile boundaries (2**bits buckets) per Z column.
+def compact(stored: DataFrame, path: str, partition_by: Sequence[str] | None = None,
+            sort_by: Sequence[str] | None = None, target_bytes: int = TARGET_BYTES) -> None:
+    """Rewrite a stored table into files of about ``target_bytes`` (V1).
 
-    One aggregation job over the table; the result is 2**bits - 1 numbers
-    per column, a fixed size whatever the table size.
+    Without ``partition_by`` the rows are range partitioned by ``sort_by`` and a tie
+    break, so a hot key is cut into as many files as it fills.  With it, AQE's
+    rebalance sizes the tasks.
     """
-    n = 2 ** bits
-    probs = [i / n for i in range(1, n)]
-    keys = {c: (_string_order_key(F.col(c)) if c in string_columns else F.col(c).cast("double"))
-            for c in columns}
-    row = df.agg(*[F.percentile_approx(k, probs, 10000).alias(c) for c, k in keys.items()]).first()
-    # Repeated bounds (low-cardinality columns) collapse to one: fewer
-    # comparisons per row, same bucket order.
-    return {c: sorted(set(row[c] or [])) for c in columns}
+    if partition_by:
+        out = stored.hint("rebalance", *partition_by)
+        if sort_by:
+            out = out.sortWithinPartitions(*partition_by, *sort_by)
+        return _overwrite(out, path, partition_by)
+    n = file_count(stored, target_bytes)
+    if not sort_by:
+        return _overwrite(stored.repartition(n), path)
+    rows = stored.withColumn("_tie", _tie(stored))
+    _overwrite(rows.repartitionByRange(n, *sort_by, "_tie").sortWithinPartitions(*sort_by).drop("_tie"), path)
+
+
+def z_bucket_bounds(df: DataFrame, columns: Sequence[str], bits: int = 8) -> dict[str, list]:
+    """Bounds that divide the distinct values of each Z column into at most 2**bits buckets.
+
+    The values keep their own type and order (text is compared whole, in any
+    script).  Spark's range partitioner divides them; the least value of each
+    range is a bound, so the result has a fixed size whatever the table size.
+    """
+    bounds = {}
+    for c in columns:
+        ranges = (df.select(F.col(c).alias("v")).where("v is not null").distinct()
+                  .repartitionByRange(2 ** bits, "v").groupBy(F.spark_partition_id().alias("p"))
+                  .agg(F.min("v").alias("least")))
+        bounds[c] = sorted(r[0] for r in ranges.select("least").collect())
+    return bounds
 
 
 def _bucket(key: Column, bounds: list) -> Column:
-    """Number of quantile bounds below ``key``: its bucket id in [0, len(bounds)].
+    """Number of bounds at or below ``key`` by a balanced CASE: as many comparisons as bits.
 
-    A linear-size expression (one comparison per bound); the bounds are a
-    fixed-size literal array, independent of the table size.
+    NULL has bucket 0.
     """
-    if not bounds:
-        return F.lit(0)
-    arr = F.array(*[F.lit(float(b)) for b in bounds])
-    return F.size(F.filter(arr, lambda b: b < key.cast("double")))
+    def search(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(key >= F.lit(bounds[mid]), search(mid + 1, hi)).otherwise(search(lo, mid))
+
+    return search(0, len(bounds)).cast("long")
 
 
-def z_value(columns: Sequence[str], bounds: dict[str, list], bits: int = 8,
-            string_columns: Sequence[str] = ()) -> Column:
+def z_value(columns: Sequence[str], bounds: dict[str, list], bits: int = 8) -> Column:
     """Bit-interleaved bucket ids of the columns (a Morton / Z-order key)."""
-    buckets = []
-    for c in columns:
-        key = _string_order_key(F.col(c)) if c in string_columns else F.col(c).cast("double")
-        buckets.append(_bucket(key, bounds[c]).cast("long"))
-    k = len(columns)
+    buckets = [_bucket(F.col(c), bounds[c]) for c in columns]
     z = F.lit(0).cast("long")
-    for b in range(bits):
+    for b in range(bits + 1):
         for j, bucket in enumerate(buckets):
             bit = F.shiftright(bucket, b).bitwiseAND(F.lit(1))
-            z = z.bitwiseOR(F.shiftleft(bit, b * k + j))
+            z = z.bitwiseOR(F.shiftleft(bit, b * len(buckets) + j))
     return z
 
 
-def zorder_rewrite(df: DataFrame, path: str, columns: Sequence[str], num_files: int,
-                   bits: int = 8, string_columns: Sequence[str] | None = None) -> None:
-    """Cluster ``df`` by the Z-order of ``columns`` and write it (V2).
+def zorder_rewrite(stored: DataFrame, path: str, columns: Sequence[str], bits: int = 8,
+                   target_bytes: int = TARGET_BYTES) -> None:
+    """Cluster a stored table by the Z-order of ``columns`` and write it (V2).
 
     Rows close in every Z column land in the same files, so min/max file
-    statistics skip files for a predicate on any one of them.
+    statistics skip files for a predicate on any one of them.  Within a Z value the
+    columns themselves and a tie break go on dividing, so few distinct values or a
+    hot one still use as many tasks as there are files.
     """
-    if string_columns is None:
-        string_columns = [f.name for f in df.schema.fields
-                          if f.name in columns and f.dataType.typeName() == "string"]
-    bounds = z_bucket_bounds(df, columns, bits, string_columns)
-    z = z_value(columns, bounds, bits, string_columns)
-    (df.withColumn("_z", z).repartitionByRange(num_files, "_z").sortWithinPartitions("_z")
-     .drop("_z").write.mode("overwrite").parquet(path))
-
-
-def files_touched(df: DataFrame, predicate: Column) -> DataFrame:
-    """Files of a Parquet table that hold at least one row matching ``predicate``
-    (the number a min/max skipping reader cannot avoid)."""
-    return (df.select(F.col("_metadata.file_path").alias("file_path"), predicate.alias("hit"))
-            .groupBy("file_path").agg(F.max(F.col("hit").cast("int")).alias("hit"))
-            .agg(F.count(F.lit(1)).alias("files"), F.sum("hit").cast("bigint").alias("files_with_match")))
+    bounds = z_bucket_bounds(stored, columns, bits)
+    rows = stored.withColumn("_tie", _tie(stored)).withColumn("_z", z_value(columns, bounds, bits))
+    order = ["_z", *columns]
+    _overwrite(rows.repartitionByRange(file_count(stored, target_bytes), *order, "_tie")
+               .sortWithinPartitions(*order).drop("_z", "_tie"), path)
 
 
 # ---------------------------------------------------------------------------
@@ -123,13 +127,10 @@ def with_commit(df: DataFrame, commit_id: Column, committed_at: Column,
                            "operation": F.lit(operation)})
 
 
-def hourly_commits(df: DataFrame, arrival: str = "kafka_timestamp") -> DataFrame:
-    """Versioned view of an append-only table loaded once per arrival hour:
-    the commit id is the hour number since the epoch, committed at the end
-    of that hour."""
-    hour = F.date_trunc("hour", F.col(arrival))
-    return with_commit(df, F.floor(F.unix_timestamp(hour) / 3600),
-                       hour + F.expr("INTERVAL 1 HOUR"), "STREAMING UPDATE")
+def append_load(df: DataFrame, path: str, commit_id: int, committed_at: Column,
+                operation: str = "WRITE") -> None:
+    """Append one load to a versioned table; the sink tags its rows."""
+    with_commit(df, F.lit(commit_id), committed_at, operation).write.mode("append").parquet(path)
 
 
 def commit_history(versioned: DataFrame, limit: int | None = 10) -> DataFrame:
@@ -142,13 +143,13 @@ def commit_history(versioned: DataFrame, limit: int | None = 10) -> DataFrame:
 
 def as_of(versioned: DataFrame, version: int | None = None, timestamp: Column | str | None = None,
           keys: Sequence[str] | None = None,
-          order: Sequence[str] = ("commit_id",)) -> DataFrame:
+          order: Sequence[str] | None = None) -> DataFrame:
     """The table as of a commit id or a commit time (V4).
 
     For a table whose rows are updated (several versions per key), ``keys``
-    returns the latest version of each key by ``order`` (commit first, then
-    any tie-break columns): a partial-aggregated ``max_by``, so a key with
-    very many versions never lands whole in one task.
+    returns the latest version of each key by ``order`` (by default the commit,
+    then all other columns, so that no ties are left): a partial-aggregated
+    ``max_by``, so a key with very many versions never lands whole in one task.
     """
     rows = versioned
     if version is not None:
@@ -159,18 +160,19 @@ def as_of(versioned: DataFrame, version: int | None = None, timestamp: Column |
     if not keys:
         return rows
     rest = [c for c in rows.columns if c not in keys]
+    order = list(order) if order else ["commit_id", *(c for c in rest if c != "commit_id")]
     latest = rows.groupBy(*keys).agg(
         F.max_by(F.struct(*rest), F.struct(*order)).alias("_r"))
     return latest.select(*keys, *[F.col("_r").getField(c).alias(c) for c in rest]).select(*rows.columns)
 
 
 def restore_as_of(versioned: DataFrame, path: str, version: int, new_commit_id: int,
-                  committed_at: Column, keys: Sequence[str] | None = None) -> None:
-    """Make an old state current again: write it as a new commit (V5)."""
-    old = as_of(versioned, version=version, keys=keys)
-    (with_commit(old.drop("commit_id", "committed_at", "operation"), F.lit(new_commit_id),
-                 committed_at, "RESTORE")
-     .write.mode("overwrite").parquet(path))
+                  committed_at: Column, keys: Sequence[str] | None = None,
+                  order: Sequence[str] | None = None) -> None:
+    """Make an old state current again: write it as a new load (V5)."""
+    old = as_of(versioned, version=version, keys=keys, order=order)
+    _overwrite(with_commit(old.drop("commit_id", "committed_at", "operation"), F.lit(new_commit_id),
+                           committed_at, "RESTORE"), path)
 
 
 def expire(versioned: DataFrame, keys: Sequence[str], retention_hours: int = 168,
@@ -179,14 +181,14 @@ def expire(versioned: DataFrame, keys: Sequence[str], retention_hours: int = 168
     before ``now``, keep the current version of every key (V6).
 
     ``now`` defaults to the newest commit time of the table (one small
-    aggregate job returning a single timestamp).  The latest commit per key
-    is a partial-aggregated ``max`` joined back on the key; AQE splits the
-    join partition of a key with very many versions.
+    aggregate job returning a single timestamp).  Recent rows stay without a join.
+    Old rows are matched on (key, commit) against the latest commit per key: a key
+    with very many versions is spread over its commits.
     """
     if now is None:
         now = versioned.agg(F.max("committed_at")).first()[0]
     now_col = now if isinstance(now, Column) else F.lit(now).cast("timestamp")
-    latest = versioned.groupBy(*keys).agg(F.max("commit_id").alias("_latest"))
-    cutoff = now_col - F.expr(f"INTERVAL {int(retention_hours)} HOURS")
-    keep = (F.col("commit_id") == F.col("_latest")) | (F.col("committed_at") >= cutoff)
-    return versioned.join(latest, list(keys), "inner").where(keep).drop("_latest")
+    recent = F.col("committed_at") >= now_col - F.expr(f"INTERVAL {int(retention_hours)} HOURS")
+    latest = versioned.groupBy(*keys).agg(F.max("commit_id").alias("commit_id"))
+    old = versioned.where(~recent).join(latest, [*keys, "commit_id"], "left_semi")
+    return versioned.where(recent).unionByName(old.select(*versioned.columns))

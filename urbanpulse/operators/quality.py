@@ -89,12 +89,11 @@ def quarantine(evaluated: DataFrame) -> DataFrame:
 def schema_drift_report(bronze: DataFrame, contract: Sequence[str] = tuple(S.PAYLOAD_FIELDS)) -> DataFrame:
     """Payload keys outside the contract: key, rows, first and last arrival (Q10).
 
-    One pass: explode the keys of each JSON object (non-JSON gives none),
-    drop contract keys with a literal IN list, partial-aggregate per key.
+    The contract's keys leave each key array before it is exploded, so only drift
+    makes rows; then a partial aggregate per key.
     """
-    keys = bronze.select(
-        F.explode(F.json_object_keys("raw_payload")).alias("drift_key"), "kafka_timestamp")
-    return (keys.where(~F.col("drift_key").isin(*contract))
+    drift = F.array_except(F.json_object_keys("raw_payload"), F.array(*(F.lit(k) for k in contract)))
+    return (bronze.select(F.explode(drift).alias("drift_key"), "kafka_timestamp")
             .groupBy("drift_key")
             .agg(F.count(F.lit(1)).alias("rows"),
                  F.min("kafka_timestamp").alias("first_seen"),
@@ -102,58 +101,77 @@ def schema_drift_report(bronze: DataFrame, contract: Sequence[str] = tuple(S.PAY
 
 
 REPLAY_FIELDS = ["vehicle_id", "road_id", "city_zone", "speed", "event_time"]
+MESSAGE_KEY = ["kafka_topic", "kafka_partition", "kafka_offset"]
+SALTS = 16
 
 
-def dlq_replay(quarantined: DataFrame, corrections: DataFrame,
-               clock: Column | str = "kafka_timestamp") -> DataFrame:
-    """Re-run the rule chain on corrected quarantine rows (Q11).
+def replay(quarantined: DataFrame, corrections: DataFrame,
+           clock: Column | str = "kafka_timestamp") -> DataFrame:
+    """Quarantined messages with corrections overlaid, through the rules again (Q11).
 
     ``corrections`` is keyed by (kafka_topic, kafka_partition, kafka_offset)
-    and holds any of ``REPLAY_FIELDS``; a NULL keeps the original value.  The
-    payload is re-parsed from ``raw_payload`` (the audit shape drops fields),
-    the corrections are overlaid and the rules run again.  Output: one row
-    per quarantined message with its old reason and its ``replay_status``.
-    Join: quarantine rows LEFT JOIN corrections on the message key; both
-    sides shuffle on the key (or the corrections are broadcast when small).
+    and holds any of ``REPLAY_FIELDS``; a NULL keeps the original value.  Each
+    payload is parsed once (the audit shape drops fields).  The result has bronze's
+    shape with ``speed_int``, ``event_ts``, ``processed_at``, ``quarantine_reason``,
+    ``corrected`` and the new ``dq_status``.
     """
-    keys = ["kafka_topic", "kafka_partition", "kafka_offset"]
-    parsed = F.from_json(F.col("raw_payload"), S.PAYLOAD_SCHEMA)
-    base = quarantined.select(
-        *keys, "raw_payload", "kafka_timestamp", "quarantine_reason",
-        *[parsed.getField(f).alias(f) for f in S.PAYLOAD_FIELDS],
-    )
+    base = quarantined.select(*MESSAGE_KEY, "raw_payload", "kafka_timestamp", "quarantine_reason",
+                              F.inline(F.array(F.from_json("raw_payload", S.PAYLOAD_SCHEMA))))
     fix_cols = [c for c in REPLAY_FIELDS if c in corrections.columns]
-    fixes = corrections.select(*keys, *[F.col(c).alias(f"fix_{c}") for c in fix_cols])
-    joined = base.join(fixes, keys, "left")
-    overlaid = joined.withColumns({c: F.coalesce(F.col(f"fix_{c}"), F.col(c)) for c in fix_cols})
+    fixes = corrections.select(*MESSAGE_KEY, *[F.col(c).alias(f"fix_{c}") for c in fix_cols])
+    joined = base.join(fixes, MESSAGE_KEY, "left")
     corrected = F.lit(False)
     for c in fix_cols:
         corrected = corrected | F.col(f"fix_{c}").isNotNull()
+    overlaid = (joined.withColumn("corrected", corrected)
+                .withColumns({c: F.coalesce(F.col(f"fix_{c}"), F.col(c)) for c in fix_cols})
+                .drop(*(f"fix_{c}" for c in fix_cols)))
     typed = with_typed_fields(overlaid, F.col("kafka_timestamp"))
-    status = dq_status(dq_rules(clock))
-    return typed.select(
-        *keys, "quarantine_reason", "vehicle_id", "speed", "event_time",
-        corrected.alias("corrected"),
-        status.alias("replay_status"),
-    )
+    return typed.withColumn("dq_status", dq_status(dq_rules(clock)))
+
+
+def dlq_replay(quarantined: DataFrame, corrections: DataFrame,
+               clock: Column | str = "kafka_timestamp") -> DataFrame:
+    """One row per quarantined message: its old reason and its ``replay_status`` (Q11)."""
+    return replay(quarantined, corrections, clock).select(
+        *MESSAGE_KEY, "quarantine_reason", "vehicle_id", "speed", "event_time", "corrected",
+        F.col("dq_status").alias("replay_status"))
+
+
+def replay_failed(replayed: DataFrame) -> DataFrame:
+    """Replayed messages that still fail, in the audit shape with their new reason."""
+    return quarantine(replayed)
+
+
+def replay_clean(replayed: DataFrame, silver: DataFrame) -> DataFrame:
+    """Replayed messages that pass now, in silver's shape, first arrival per key, without
+    keys that silver has already."""
+    from urbanpulse.operators import silver as clean
+
+    fresh = clean.dedup_first(clean.valid_rows(replayed))
+    fresh = fresh.join(silver.select(*clean.DEDUP_KEYS), clean.DEDUP_KEYS, "left_anti")
+    return clean.enrich(fresh).drop("quarantine_reason", "corrected")
 
 
 def sensor_vehicle_corrections(quarantined: DataFrame, clean: DataFrame) -> DataFrame:
     """Vehicle id corrections learned from clean data: for each quarantined row
     missing its vehicle id, the vehicle last seen (by event time, then
-    offset) on the same sensor in the clean table.
+    arrival) on the same sensor in the clean table.
 
-    The per-sensor lookup is a partial-aggregated ``max_by`` (one row per
-    sensor), joined to the DLQ rows by sensor id.
+    The lookup has one row per sensor (partial aggregate).  A broken sensor may
+    send most of the quarantine, so its rows are dealt over ``SALTS`` keys and the
+    lookup is repeated for each.
     """
     last_on_sensor = (clean.where(F.col("sensor_id").isNotNull())
                       .groupBy("sensor_id")
-                      .agg(F.max_by("vehicle_id", F.struct("event_ts", "kafka_offset")).alias("vehicle_id")))
-    parsed_sensor = F.from_json(F.col("raw_payload"), S.PAYLOAD_SCHEMA).getField("sensor_id")
+                      .agg(F.max_by("vehicle_id", F.struct("event_ts", "kafka_timestamp", "kafka_partition",
+                                                           "kafka_offset")).alias("vehicle_id"))
+                      .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))))
     missing = (quarantined.where(F.col("quarantine_reason") == S.STATUS_NO_VEHICLE)
-               .select("kafka_topic", "kafka_partition", "kafka_offset",
-                       parsed_sensor.alias("sensor_id")))
-    return missing.join(last_on_sensor, "sensor_id", "inner").drop("sensor_id")
+               .select(*MESSAGE_KEY, F.inline(F.array(F.from_json("raw_payload", S.PAYLOAD_SCHEMA))))
+               .select(*MESSAGE_KEY, "sensor_id",
+                       F.pmod(F.xxhash64(*MESSAGE_KEY), F.lit(SALTS)).cast("int").alias("salt")))
+    return missing.join(last_on_sensor, ["sensor_id", "salt"]).drop("sensor_id", "salt")
 
 
 # ---------------------------------------------------------------------------
@@ -169,16 +187,17 @@ def check_not_null(df: DataFrame, columns: Sequence[str], model: str) -> DataFra
     ).select("model", F.lit("not_null").alias("test"), "column_name", "failures")
 
 
-def unique_violations(df: DataFrame, key: str) -> DataFrame:
+def unique_violations(df: DataFrame, key: Sequence[str]) -> DataFrame:
     """Keys that occur more than once, with their count (Q13 detail)."""
-    return df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+    return df.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
 
 
-def check_unique(df: DataFrame, key: str, model: str) -> DataFrame:
-    """Number of duplicated key values (Q13)."""
-    return unique_violations(df, key).agg(F.count(F.lit(1)).alias("failures")).select(
+def check_unique(df: DataFrame, key: str | Sequence[str], model: str) -> DataFrame:
+    """Number of duplicated values of a key of one or more columns (Q13)."""
+    keys = [key] if isinstance(key, str) else list(key)
+    return unique_violations(df, keys).agg(F.count(F.lit(1)).alias("failures")).select(
         F.lit(model).alias("model"), F.lit("unique").alias("test"),
-        F.lit(key).alias("column_name"), "failures")
+        F.lit(",".join(keys)).alias("column_name"), "failures")
 
 
 def check_accepted_values(df: DataFrame, column: str, values: Sequence, model: str) -> DataFrame:

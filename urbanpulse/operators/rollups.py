@@ -7,7 +7,7 @@ carries one row per group per task, whatever the skew of the raw rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from urbanpulse.functions.columns import count_if, pct, round_half_up
@@ -54,14 +54,22 @@ def fct_hourly_traffic_kpis(stg: DataFrame, dim_roads: DataFrame,
     return out.withColumn("aggregated_at", F.current_timestamp()) if with_aggregated_at else out
 
 
-def write_rollup(rollup: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    """Overwrite a rollup table, allowing its schema to change.
+def write_rollup(rollup: DataFrame, path: str, partition_by: list[str] | None = None,
+                 only_touched: bool = False) -> None:
+    """Overwrite a rollup table; its schema may change.
 
-    With ``partitionOverwriteMode=dynamic`` (set by ``session.configure``) a
-    partitioned rewrite replaces only the dates present in ``rollup``, so an
-    incremental run over the touched dates leaves older partitions intact.
+    A full rewrite (the default) replaces the whole table.  With ``only_touched``
+    a partitioned rewrite replaces just the partitions present in ``rollup``.
+    Partitions written before a column was added lack it: ``read_rollup`` merges
+    the schemas, and the column is NULL there.
     """
-    writer = rollup.write.mode("overwrite").option("mergeSchema", "true")
+    mode = "dynamic" if only_touched else "static"
+    writer = rollup.write.mode("overwrite").option("partitionOverwriteMode", mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
+
+
+def read_rollup(spark: SparkSession, path: str) -> DataFrame:
+    """A rollup table with the columns of all its partitions."""
+    return spark.read.option("mergeSchema", "true").parquet(path)

@@ -3,10 +3,8 @@
 ``score_observations`` scores every fact row from its own context (zone,
 road, weather, hour, weekend).  ``velocity_anomalies`` joins the road
 dimension for the limit.  ``scenario_grid`` is the what-if table: every
-observed (zone, road, weather) combination, one grouped pass, expanded to
-all 24 hours x weekday/weekend with ``explode(sequence(..))`` generators,
-so the grid never needs a cross join and grows only with the distinct
-combinations.
+(zone, road, weather) of the contract's domains, expanded to all 24 hours x
+weekday/weekend by generators, so the grid never needs a cross join.
 """
 
 from __future__ import annotations
@@ -14,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from urbanpulse import schemas as S
 from urbanpulse.functions import scoring as M
 
 
@@ -59,11 +58,22 @@ def velocity_anomalies(fact: DataFrame, dim_road: DataFrame) -> DataFrame:
 
 
 def scenario_grid(fact: DataFrame, density: float = 1.0) -> DataFrame:
-    """What-if predictions for each observed (zone, road, weather) at every
-    hour, weekday and weekend (M7)."""
-    combos = (fact.groupBy("city_zone", "road_id", "weather")
-              .agg(F.count(F.lit(1)).alias("observations")))
-    grid = (combos
+    """What-if predictions for every (zone, road, weather) of the contract's domains at every
+    hour, weekday and weekend, with the number of observations behind it (M7).
+
+    The cells are generated by ``explode`` (7,200 whatever the input); the
+    observations are one grouped pass, joined to the cells.
+    """
+    seen = (fact.groupBy("city_zone", "road_id", "weather")
+            .agg(F.count(F.lit(1)).alias("observations")))
+
+    def domain(values):
+        return F.explode(F.array(*(F.lit(v) for v in values)))
+
+    cells = (fact.sparkSession.range(1).select(domain(S.ZONES).alias("city_zone"))
+             .withColumn("road_id", domain(S.ROADS)).withColumn("weather", domain(S.WEATHERS)))
+    grid = (cells.join(seen, ["city_zone", "road_id", "weather"], "left")
+            .withColumn("observations", F.coalesce("observations", F.lit(0)).cast("bigint"))
             .withColumn("hour", F.explode(F.sequence(F.lit(0), F.lit(23))))
             .withColumn("is_weekend", F.explode(F.array(F.lit(False), F.lit(True)))))
     return with_prediction(grid, hour="hour", weekend="is_weekend", density=density)

@@ -1,25 +1,24 @@
 """Silver: clean rows, deduplication, enrichment, late-row recovery.
 
-Deduplication keeps, per (vehicle_id, event_ts), the message with the lowest
-offset.  It is written as a grouped ``min_by`` rather than a ``row_number``
-window: the aggregate runs a partial (map-side) step before the shuffle, so
-a key that holds a third of all rows is reduced to one row per input task
-before anything crosses the network, instead of landing whole in one sort
-task.
+Deduplication keeps, per (vehicle_id, event_ts), the message that arrived first:
+the smallest (arrival time, topic, partition, offset).  Offsets alone do not do,
+they are numbered per partition.  It is written as ``row_number() = 1``: Spark
+puts a group limit below the shuffle, so each input task sends one row per key
+and a key that holds a third of all rows never crosses the network as a whole.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from urbanpulse import schemas as S
 from urbanpulse.functions import features as X
-from urbanpulse.functions.columns import col_of
 
 DEDUP_KEYS = ["vehicle_id", "event_ts"]
+ARRIVAL_ORDER = ["kafka_timestamp", "kafka_topic", "kafka_partition", "kafka_offset"]
 
 
 def valid_rows(evaluated: DataFrame) -> DataFrame:
@@ -27,22 +26,10 @@ def valid_rows(evaluated: DataFrame) -> DataFrame:
 
 
 def dedup_first(df: DataFrame, keys: Sequence[str] = DEDUP_KEYS,
-                order: str = "kafka_offset", extra: dict[str, Column] | None = None) -> DataFrame:
-    """One row per key: the row with the smallest ``order`` value (T2, batch).
-
-    Partial aggregation before the exchange makes this skew-proof; the
-    result is deterministic (ties on ``order`` cannot happen for offsets).
-    ``extra`` adds per-key aggregates computed in the same pass.
-    """
-    extra = extra or {}
-    rest = [c for c in df.columns if c not in keys]
-    packed = F.struct(*[F.col(c) for c in rest])
-    return (df.groupBy(*keys)
-            .agg(F.min_by(packed, F.col(order)).alias("_row"),
-                 *[agg.alias(name) for name, agg in extra.items()])
-            .select(*[F.col(c) for c in df.columns if c in keys],
-                    *[F.col("_row").getField(c).alias(c) for c in rest], *extra)
-            .select(*df.columns, *extra))
+                order: Sequence[str] = ARRIVAL_ORDER) -> DataFrame:
+    """One row per key: the first in ``order`` (T2, batch)."""
+    first = Window.partitionBy(*keys).orderBy(*order)
+    return df.withColumn("_nth", F.row_number().over(first)).where("_nth = 1").drop("_nth")
 
 
 def enrich(df: DataFrame) -> DataFrame:
@@ -56,21 +43,9 @@ def enrich(df: DataFrame) -> DataFrame:
             }))
 
 
-def silver_clean(evaluated: DataFrame, clock: Column | str | None = None,
-                 delay: str = S.DEDUP_WATERMARK) -> DataFrame:
-    """Batch silver: VALID rows, deduplicated, enriched (Q9).
-
-    With a ``clock``, the dedup pass also records ``arrived_late`` = 1 when no
-    row of the key arrived within ``delay`` of its event time: the rows a
-    streaming watermark of ``delay`` would lose (J5), found later with a
-    filter on stored silver instead of re-evaluating bronze.
-    """
-    extra = None
-    if clock is not None:
-        on_time = F.coalesce(F.col("event_ts") >= col_of(clock) - F.expr(f"INTERVAL {delay}"),
-                             F.lit(False))
-        extra = {"arrived_late": (F.lit(1) - F.max(on_time.cast("int"))).cast("int")}
-    return enrich(dedup_first(valid_rows(evaluated), extra=extra))
+def silver_clean(evaluated: DataFrame) -> DataFrame:
+    """Batch silver: VALID rows, deduplicated, enriched (Q9)."""
+    return enrich(dedup_first(valid_rows(evaluated)))
 
 
 def silver_stream(evaluated: DataFrame, delay: str = S.DEDUP_WATERMARK) -> DataFrame:
@@ -84,38 +59,12 @@ def silver_stream(evaluated: DataFrame, delay: str = S.DEDUP_WATERMARK) -> DataF
                   .dropDuplicates(DEDUP_KEYS))
 
 
-def on_time_rows(valid: DataFrame, clock: Column | str = "kafka_timestamp",
-                 delay: str = S.DEDUP_WATERMARK) -> DataFrame:
-    """Rows that arrived no more than ``delay`` after their event time, i.e.
-    the rows an event-time watermark of ``delay`` keeps when the stream's
-    maximum event time tracks the arrival clock."""
-    return valid.where(F.col("event_ts") >= col_of(clock) - F.expr(f"INTERVAL {delay}"))
-
-
 def late_arrivals(valid: DataFrame, silver: DataFrame,
                   keys: Sequence[str] = DEDUP_KEYS) -> DataFrame:
     """VALID rows whose key never reached silver, deduplicated.
 
-    Deduplicating first (partial aggregation) leaves at most one row per key
-    on either side, so a hot key cannot skew the anti join that follows;
-    AQE turns the join into a broadcast when silver's key set is small.
+    ``silver`` is a stored table that a stream has written.  Deduplicating first
+    leaves at most one row per key on the left, so a hot key cannot skew the
+    anti join that follows.
     """
     return dedup_first(valid, keys).join(silver.select(*keys), list(keys), "left_anti")
-
-
-def late_arrivals_batch(valid: DataFrame, clock: Column | str = "kafka_timestamp",
-                        delay: str = S.DEDUP_WATERMARK,
-                        keys: Sequence[str] = DEDUP_KEYS, order: str = "kafka_offset") -> DataFrame:
-    """Batch form of J5 when silver is derived from the same rows: the keys
-    none of whose rows arrived within ``delay``, one row each (lowest offset).
-
-    Equal to ``late_arrivals(valid, dedup_first(on_time_rows(valid)))``, but
-    only the late rows (a few percent) are deduplicated with their full
-    payload; the on-time side is reduced to its distinct keys (a narrow,
-    partially aggregated shuffle that also collapses a hot key map-side)
-    and used in a left anti join.
-    """
-    on_time = F.coalesce(F.col("event_ts") >= col_of(clock) - F.expr(f"INTERVAL {delay}"), F.lit(False))
-    late = dedup_first(valid.where(~on_time), keys, order)
-    on_time_keys = valid.where(on_time).select(*keys).distinct()
-    return late.join(on_time_keys, list(keys), "left_anti").select(*valid.columns)

@@ -21,11 +21,10 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from urbanpulse.operators import gold, quality, silver
+from urbanpulse.operators import gold, quality, rollups, silver
+from urbanpulse.plans.fixture import telemetry_messages
 from urbanpulse.session import configure
 from urbanpulse.sources import bronze as B
-from urbanpulse.sources.fixture import telemetry_messages
-from urbanpulse.sources.tables import spread
 
 
 class Lakehouse:
@@ -37,15 +36,18 @@ class Lakehouse:
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str, clock: str = "kafka_timestamp",
-                 processed_at: Column | None = None, tables: dict[str, str] | None = None):
+                 processed_at: Column | None = None, tables: dict[str, str] | None = None,
+                 input_partitions: int | None = None):
         self.spark = configure(spark)
         self.sf_dir = sf_dir
         self.clock = clock
         self._processed_at = processed_at
         self._tables = tables or {}
+        self.input_partitions = input_partitions
 
     # -- inputs ------------------------------------------------------------
     def table(self, name: str) -> DataFrame:
+        """One of the given tables."""
         return self.spark.read.parquet(os.path.join(self.sf_dir, f"{name}.parquet"))
 
     def _stored(self, name: str) -> DataFrame | None:
@@ -54,7 +56,11 @@ class Lakehouse:
 
     @cached_property
     def messages(self) -> DataFrame:
-        return telemetry_messages(spread(self.table("events")))
+        events = self.table("events")
+        # asked for by the caller where the input is one row group, which Spark cannot split
+        if self.input_partitions:
+            events = events.repartition(self.input_partitions)
+        return telemetry_messages(events)
 
     @cached_property
     def bronze(self) -> DataFrame:
@@ -76,7 +82,7 @@ class Lakehouse:
     @cached_property
     def silver(self) -> DataFrame:
         stored = self._stored("silver")
-        return stored if stored is not None else silver.silver_clean(self.evaluated, clock=self.clock)
+        return stored if stored is not None else silver.silver_clean(self.evaluated)
 
     @cached_property
     def quarantine(self) -> DataFrame:
@@ -92,12 +98,12 @@ class Lakehouse:
     @cached_property
     def dim_zone(self) -> DataFrame:
         stored = self._stored("dim_zone")
-        return stored if stored is not None else gold.dim_zone(self.silver)
+        return stored.drop("dim_updated_at") if stored is not None else gold.dim_zone(self.silver)
 
     @cached_property
     def dim_road(self) -> DataFrame:
         stored = self._stored("dim_road")
-        return stored if stored is not None else gold.dim_road(self.silver)
+        return stored.drop("dim_updated_at") if stored is not None else gold.dim_road(self.silver)
 
     @cached_property
     def stg(self) -> DataFrame:
@@ -105,29 +111,52 @@ class Lakehouse:
 
     @cached_property
     def dim_zones_mart(self) -> DataFrame:
-        return gold.dim_zones_mart(self.stg)
+        stored = self._stored("dim_zones_mart")
+        return stored.drop("dbt_updated_at") if stored is not None else gold.dim_zones_mart(self.stg)
+
+    @cached_property
+    def kpi_mart(self) -> DataFrame:
+        stored = self._stored("fct_hourly_traffic_kpis")
+        return stored.drop("aggregated_at") if stored is not None else rollups.fct_hourly_traffic_kpis(
+            self.stg, self.dim_roads_mart)
 
     @cached_property
     def dim_roads_mart(self) -> DataFrame:
         stored = self._stored("dim_roads_mart")
-        return stored if stored is not None else gold.dim_roads_mart(self.stg)
+        return stored.drop("dbt_updated_at") if stored is not None else gold.dim_roads_mart(self.stg)
 
     # -- materialization ----------------------------------------------------------
     def materialize(self, out_dir: str) -> "Lakehouse":
-        """Write the layers as Parquet tables under ``out_dir`` and return a
-        Lakehouse over them (fact partitioned by event_date, event_hour)."""
+        """Write the layers as Parquet tables under ``out_dir`` and return a Lakehouse over them.
+
+        The fact is partitioned by event_date and event_hour, the mart rollup by
+        event_date; dimensions and rollups carry the time they were made.  Every table
+        is replaced as a whole.
+        """
         paths = {name: os.path.join(out_dir, name) for name in
                  ("bronze", "silver", "quarantine", "fact_traffic", "dim_zone", "dim_road",
-                  "dim_roads_mart")}
-        self.bronze.write.mode("overwrite").parquet(paths["bronze"])
-        stored = Lakehouse(self.spark, self.sf_dir, self.clock, self._processed_at,
-                           {"bronze": paths["bronze"]})
-        stored.silver.write.mode("overwrite").parquet(paths["silver"])
-        stored.quarantine.write.mode("overwrite").parquet(paths["quarantine"])
-        with_silver = Lakehouse(self.spark, self.sf_dir, self.clock, self._processed_at,
-                                {"bronze": paths["bronze"], "silver": paths["silver"]})
-        gold.write_fact(with_silver.fact, paths["fact_traffic"])
-        with_silver.dim_zone.coalesce(1).write.mode("overwrite").parquet(paths["dim_zone"])
-        with_silver.dim_road.coalesce(1).write.mode("overwrite").parquet(paths["dim_road"])
-        with_silver.dim_roads_mart.coalesce(1).write.mode("overwrite").parquet(paths["dim_roads_mart"])
-        return Lakehouse(self.spark, self.sf_dir, self.clock, self._processed_at, paths)
+                  "dim_zones_mart", "dim_roads_mart", "fct_hourly_traffic_kpis", "agg_hourly_congestion")}
+
+        def over(*names: str) -> Lakehouse:
+            return Lakehouse(self.spark, self.sf_dir, self.clock, self._processed_at,
+                             {n: paths[n] for n in names}, self.input_partitions)
+
+        def write(df: DataFrame, name: str) -> None:
+            (df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(paths[name]))
+
+        write(self.bronze, "bronze")
+        stored = over("bronze")
+        write(stored.silver, "silver")
+        write(stored.quarantine, "quarantine")
+        stored = over("bronze", "silver")
+        gold.write_fact(stored.fact, paths["fact_traffic"])
+        write(gold.dim_zone(stored.silver, with_updated_at=True).coalesce(1), "dim_zone")
+        write(gold.dim_road(stored.silver, with_updated_at=True).coalesce(1), "dim_road")
+        write(gold.dim_zones_mart(stored.stg, with_updated_at=True).coalesce(1), "dim_zones_mart")
+        write(gold.dim_roads_mart(stored.stg, with_updated_at=True).coalesce(1), "dim_roads_mart")
+        stored = over("bronze", "silver", "fact_traffic", "dim_zone", "dim_road", "dim_zones_mart", "dim_roads_mart")
+        rollups.write_rollup(rollups.fct_hourly_traffic_kpis(stored.stg, stored.dim_roads_mart, True),
+                             paths["fct_hourly_traffic_kpis"], ["event_date"])
+        rollups.write_rollup(rollups.agg_hourly_congestion(stored.fact, stored.dim_road, True),
+                             paths["agg_hourly_congestion"], ["event_date"])
+        return over(*paths)

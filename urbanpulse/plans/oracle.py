@@ -92,7 +92,7 @@ dq AS (SELECT *, CASE
  FROM typed),
 valid AS (SELECT * FROM dq WHERE dq_status = 'VALID'),
 dedup AS (SELECT * FROM valid
-  QUALIFY row_number() OVER (PARTITION BY vehicle_id, event_ts ORDER BY kafka_offset) = 1),
+  QUALIFY row_number() OVER (PARTITION BY vehicle_id, event_ts ORDER BY kafka_timestamp, kafka_topic, kafka_partition, kafka_offset) = 1),
 silver AS (SELECT *,
   CAST(hour(event_ts) AS INTEGER) AS event_hour,
   CASE WHEN dayofweek(event_ts) IN (0, 6) THEN 1 ELSE 0 END AS is_weekend,

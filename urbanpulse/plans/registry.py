@@ -2,19 +2,9 @@
 
 from __future__ import annotations
 
-import importlib
-
-_MODULES = ["urbanpulse.plans.catalog", "urbanpulse.plans.more", "urbanpulse.streaming.reports"]
+from urbanpulse.plans import catalog, more
+from urbanpulse.streaming import reports
 
 
 def all_reports():
-    merged = {}
-    for name in _MODULES:
-        try:
-            module = importlib.import_module(name)
-        except ModuleNotFoundError as exc:  # module not written yet
-            if exc.name == name:
-                continue
-            raise
-        merged.update(module.REPORTS)
-    return merged
+    return {**catalog.REPORTS, **more.REPORTS, **reports.REPORTS}

@@ -39,8 +39,9 @@ def configure(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    On a cluster this is set by the deployment (a shared file system); only
-    when it is unset (local tests) do we create a scratch folder.
+    On a cluster this is set by the deployment (a shared file system).  A scratch
+    folder of this machine is made only under a ``local`` master; any other master
+    without the setting is an error, because executors could not read each other's files.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
@@ -50,7 +51,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
             current = None
     if current:
         return current
-    local = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    if not spark.conf.get("spark.master", "").startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    local = tempfile.mkdtemp(prefix="run-")
     spark.conf.set("spark.checkpoint.dir", local)
     try:
         spark.sparkContext.setCheckpointDir(local)

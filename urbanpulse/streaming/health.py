@@ -1,41 +1,33 @@
 """Per-query stream health from progress events.
 
-A ``StreamingQueryListener`` keeps one small record per micro-batch (not
-the data), so the report is complete however many batches ran; the
+A ``StreamingQueryListener`` adds every progress event to one running total per
+query name, so its memory does not grow with the number of micro-batches; the
 ``recentProgress`` buffer of a query only keeps the last few.
 """
 
 from __future__ import annotations
 
 import threading
+import time
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQueryListener
 
-PROGRESS_SCHEMA = T.StructType([
-    T.StructField("query_name", T.StringType()),
-    T.StructField("run_id", T.StringType()),
-    T.StructField("batch_id", T.LongType()),
-    T.StructField("batch_time", T.StringType()),
-    T.StructField("num_input_rows", T.LongType()),
-    T.StructField("state_rows", T.LongType()),
-    T.StructField("rows_dropped_by_watermark", T.LongType()),
-    T.StructField("duplicate_rows_dropped", T.LongType()),
-])
+HEALTH_SCHEMA = ("query_name string, batches long, rows_in long, state_rows long, "
+                 "rows_dropped_by_watermark long, duplicate_rows_dropped long, last_batch_time string")
 
 
 class StreamHealth(StreamingQueryListener):
-    """Collects progress of every streaming query of a session."""
+    """Totals over the progress of every streaming query of a session."""
 
     def __init__(self):
         self._lock = threading.Lock()
-        self.records: list[tuple] = []
-        self.terminated: dict[str, str | None] = {}
+        self.totals: dict[str, list] = {}
+        self.running: set[str] = set()
 
     def onQueryStarted(self, event):  # noqa: N802 (Spark listener API)
-        pass
+        with self._lock:
+            self.running.add(str(event.runId))
 
     def onQueryProgress(self, event):  # noqa: N802
         p = event.progress
@@ -45,37 +37,39 @@ class StreamHealth(StreamingQueryListener):
             dropped += op.numRowsDroppedByWatermark or 0
             dups += (op.customMetrics or {}).get("numDroppedDuplicateRows", 0) or 0
         with self._lock:
-            self.records.append((p.name, str(p.runId), int(p.batchId), p.timestamp,
-                                 int(p.numInputRows or 0), int(state_rows), int(dropped), int(dups)))
+            t = self.totals.setdefault(p.name, [0, 0, 0, 0, 0, ""])
+            t[0] += 1
+            t[1] += int(p.numInputRows or 0)
+            t[2] = int(state_rows)
+            t[3] += int(dropped)
+            t[4] += int(dups)
+            t[5] = max(t[5], p.timestamp)
 
     def onQueryIdle(self, event):  # noqa: N802
         pass
 
     def onQueryTerminated(self, event):  # noqa: N802
         with self._lock:
-            self.terminated[str(event.runId)] = event.exception
+            self.running.discard(str(event.runId))
 
     def attach(self, spark: SparkSession) -> "StreamHealth":
         spark.streams.addListener(self)
         return self
 
-    def detach(self, spark: SparkSession) -> None:
+    def detach(self, spark: SparkSession, timeout: float = 60) -> None:
+        """Stop listening once every query that started has reported its end: events are
+        asynchronous and arrive in order, so none of its progress is missing then."""
+        end = time.time() + timeout
+        while time.time() < end:
+            with self._lock:
+                if not self.running:
+                    break
+            time.sleep(0.05)
         spark.streams.removeListener(self)
 
-    def progress(self, spark: SparkSession) -> DataFrame:
-        with self._lock:
-            rows = list(self.records)
-        return spark.createDataFrame(rows, PROGRESS_SCHEMA)
-
     def report(self, spark: SparkSession) -> DataFrame:
         """Per query: batches, rows in, current state rows, rows dropped by
         the watermark, duplicates dropped, last batch time."""
-        p = self.progress(spark)
-        return (p.groupBy("query_name")
-                .agg(F.count(F.lit(1)).alias("batches"),
-                     F.sum("num_input_rows").alias("rows_in"),
-                     F.max_by("state_rows", "batch_id").alias("state_rows"),
-                     F.sum("rows_dropped_by_watermark").alias("rows_dropped_by_watermark"),
-                     F.sum("duplicate_rows_dropped").alias("duplicate_rows_dropped"),
-                     F.max("batch_time").alias("last_batch_time"))
-                .orderBy("query_name"))
+        with self._lock:
+            rows = [(name, *t) for name, t in self.totals.items()]
+        return spark.createDataFrame(rows, HEALTH_SCHEMA).orderBy("query_name")

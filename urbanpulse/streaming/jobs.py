@@ -11,8 +11,11 @@ system; nothing is written to a machine-local folder.
 
 from __future__ import annotations
 
+import math
 import os
+import time
 from collections.abc import Sequence
+from functools import partial
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -32,23 +35,35 @@ def _trigger(writer, trigger: dict | None):
 # ---------------------------------------------------------------------------
 # Sources
 # ---------------------------------------------------------------------------
-def write_message_files(messages: DataFrame, path: str, num_files: int) -> None:
-    """Store a message table as a replayable file feed: ``num_files`` equal
-    arrival-time windows, each appended by its own write so that file
-    modification times (the order a file stream source reads in) follow
-    arrival time.  One small aggregate finds the time span first."""
-    span = messages.agg(F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi")).first()
-    lo, hi = span["lo"], span["hi"]
-    if lo is None:
-        return
-    step = (hi - lo) / num_files
-    for i in range(num_files):
-        start = lo + step * i
-        cond = F.col("timestamp") >= F.lit(start)
-        if i < num_files - 1:
-            cond = cond & (F.col("timestamp") < F.lit(lo + step * (i + 1)))
-        (messages.where(cond).coalesce(1).sortWithinPartitions("timestamp", "offset")
-         .write.mode("append").parquet(path))
+def _feed_files(spark: SparkSession, path: str) -> list[tuple[str, int]]:
+    """(file, modification time) of the data files in a feed folder, by name."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        return []
+    found = [(f.getPath().toString(), f.getModificationTime()) for f in fs.listStatus(folder)]
+    return sorted(f for f in found if os.path.basename(f[0]).startswith("part-"))
+
+
+def write_message_files(messages: DataFrame, path: str, rows_per_file: int = 1_000_000) -> int:
+    """Append a message table to a replayable file feed; returns the number of files.
+
+    One pass: rows are range partitioned by arrival time into files of about
+    ``rows_per_file``.  A file stream source reads in the order of modification times,
+    so those are set to follow arrival time, behind any files already there
+    (metadata only).
+    """
+    spark = messages.sparkSession
+    n = max(1, math.ceil(messages.count() / rows_per_file))
+    before = dict(_feed_files(spark, path))
+    (messages.repartitionByRange(n, "timestamp").sortWithinPartitions("timestamp", "offset")
+     .write.mode("append").parquet(path))
+    new = [f for f, _ in _feed_files(spark, path) if f not in before]
+    start = max([*before.values(), int(time.time() * 1000) - 3_600_000])
+    fs = spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    for k, f in enumerate(new, 1):
+        fs.setTimes(spark._jvm.org.apache.hadoop.fs.Path(f), start + 1000 * k, -1)
+    return len(new)
 
 
 def message_stream(spark: SparkSession, path: str, max_files_per_trigger: int = 1) -> DataFrame:
@@ -105,22 +120,29 @@ def start_silver_routes(bronze_stream: DataFrame, root: str, clock: str = "inges
 
 
 def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
+    """A stored table; None where nothing is stored yet."""
     try:
         return spark.read.parquet(path)
-    except AnalysisException:
-        return None
+    except AnalysisException as exc:
+        if exc.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
 
 
 def insert_if_absent(batch: DataFrame, path: str, key: str) -> None:
-    """Append the rows of ``batch`` whose key is not stored yet.
+    """Append the rows of ``batch`` whose key is not stored yet; no file without one.
 
     Stateless: the stored table is the state, so a replayed micro-batch (or
     a lost checkpoint) cannot create duplicates.  The stored dimension is
     tiny; the anti join is broadcast by size.
     """
     existing = _read_or_none(batch.sparkSession, path)
-    new = batch if existing is None else batch.join(existing.select(key), key, "left_anti")
-    new.coalesce(1).write.mode("append").parquet(path)
+    new = (batch if existing is None else batch.join(existing.select(key), key, "left_anti")).persist()
+    try:
+        if new.count():  # evaluates the batch once, for the test and the write
+            new.coalesce(1).write.mode("append").parquet(path)
+    finally:
+        new.unpersist()
 
 
 def start_dimension(silver_stream: DataFrame, path: str, checkpoint: str, name: str,
@@ -142,18 +164,22 @@ def start_gold(silver_stream: DataFrame, root: str, trigger: dict | None = None)
                       os.path.join(ck, "fact"), "GoldFactStream",
                       partition_by=gold.FACT_PARTITIONS, trigger=trigger),
         start_dimension(silver_stream, os.path.join(root, "dim_zone"), os.path.join(ck, "dim_zone"),
-                        "DimZoneStream", gold.dim_zone, "city_zone", trigger),
+                        "DimZoneStream", partial(gold.dim_zone, with_updated_at=True), "city_zone", trigger),
         start_dimension(silver_stream, os.path.join(root, "dim_road"), os.path.join(ck, "dim_road"),
-                        "DimRoadStream", gold.dim_road, "road_id", trigger),
+                        "DimRoadStream", partial(gold.dim_road, with_updated_at=True), "road_id", trigger),
     ]
 
 
 def hourly_rollup_stream(fact_stream: DataFrame, dim_road: DataFrame,
-                         delay: str = S.DEDUP_WATERMARK) -> DataFrame:
+                         delay: str | None = S.DEDUP_WATERMARK) -> DataFrame:
     """A1 as a continuous query (T7): tumbling one-hour event-time windows
-    per zone and road, emitted once the watermark passes the window end."""
-    joined = (fact_stream.withWatermark("event_ts", delay)
-              .join(dim_road.select("road_id", "speed_limit_kmh"), "road_id", "left"))
+    per zone and road, emitted once the watermark passes the window end.
+
+    Hours that the watermark has not passed are open and not in the result yet.
+    ``delay`` None keeps the watermark that the input has.
+    """
+    marked = fact_stream.withWatermark("event_ts", delay) if delay else fact_stream
+    joined = marked.join(dim_road.select("road_id", "speed_limit_kmh"), "road_id", "left")
     agg = (joined.groupBy(F.window("event_ts", "1 hour").alias("w"), "city_zone", "road_id")
            .agg(F.count("vehicle_id").alias("total_vehicle_flow"),
                 F.avg("speed_kmh").alias("_avg_speed"),
@@ -171,11 +197,12 @@ def hourly_rollup_stream(fact_stream: DataFrame, dim_road: DataFrame,
         round_half_up("_avg_level", 2).alias("avg_congestion_level"),
         "high_congestion_event_count", "speed_violation_count",
         round_half_up(pct("high_congestion_event_count", "total_vehicle_flow"), 1).alias("high_congestion_pct"),
+        F.current_timestamp().alias("computed_at"),
     )
 
 
 def start_hourly_rollup(fact_stream: DataFrame, dim_road: DataFrame, root: str,
-                        delay: str = S.DEDUP_WATERMARK, trigger: dict | None = None) -> StreamingQuery:
+                        delay: str | None = S.DEDUP_WATERMARK, trigger: dict | None = None) -> StreamingQuery:
     return stream_append(hourly_rollup_stream(fact_stream, dim_road, delay),
                          os.path.join(root, "agg_hourly_congestion"),
                          os.path.join(root, "_checkpoints", "rollup"), "HourlyRollupStream",
@@ -223,25 +250,37 @@ def run_chain(spark: SparkSession, messages: DataFrame, root: str, clock: str =
     for q in start_gold(silver_in, root):
         q.awaitTermination()
     if rollup:
-        # The rollup reads the silver table (few files per micro-batch), not
-        # the fact sink, whose date/hour partitioning splits each micro-batch
-        # into hundreds of small files; the fact is a projection of silver.
-        # No file cap: every file of a silver micro-batch spans that batch's
-        # whole time range, so splitting one across rollup triggers would
-        # advance the watermark early and drop on-time rows.
-        silver_again = B.read_table_stream(spark, paths["traffic_silver"], silver_schema)
-        start_hourly_rollup(gold.fact_traffic(silver_again), spark.read.parquet(paths["dim_road"]),
-                            root).awaitTermination()
+        # The rollup reads bronze with the same file cap and runs the clean rows and the
+        # dedup itself (stateful operators in a chain share one watermark): its
+        # micro-batches are bounded, and none splits a batch that silver read whole, which
+        # would move the watermark early and drop on-time rows.
+        bronze_again = B.read_table_stream(spark, paths["traffic_bronze"], bronze_schema(spark),
+                                           max_files_per_trigger=max_files_per_trigger)
+        clean = silver.silver_stream(quality.evaluate(bronze_again, clock=clock, processed_at=F.col(clock)), delay)
+        start_hourly_rollup(gold.fact_traffic(clean), spark.read.parquet(paths["dim_road"]),
+                            root, delay=None).awaitTermination()
     return paths
 
 
-def register_tables(spark: SparkSession, paths: dict[str, str]) -> list[str]:
-    """Name every stored table as a temp view (S14); with a metastore the same
-    loop would issue ``CREATE TABLE .. USING parquet LOCATION ..``."""
+def register_tables(spark: SparkSession, paths: dict[str, str], database: str | None = None) -> list[str]:
+    """Name every stored table (S14): temp views, or tables of a catalog database.
+
+    Tables are external (``USING parquet LOCATION``): dropping or replacing a name
+    leaves the files.  Partitions of partitioned tables are recovered from the folders.
+    """
     names = []
+    if database:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     for name, path in paths.items():
         df = _read_or_none(spark, path)
-        if df is not None:
+        if df is None:
+            continue
+        if not database:
             df.createOrReplaceTempView(name)
-            names.append(name)
+        else:
+            spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
+            spark.catalog.createTable(f"{database}.{name}", path=path, source="parquet")
+            if any(c.isPartition for c in spark.catalog.listColumns(f"{database}.{name}")):
+                spark.catalog.recoverPartitions(f"{database}.{name}")
+        names.append(name)
     return names

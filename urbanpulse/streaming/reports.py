@@ -1,15 +1,16 @@
 """Registered streaming reports.
 
 Each report replays the telemetry messages derived from ``events`` as a
-file feed (one file per arrival-time range), runs the streaming chain with
+file feed (files by arrival time), runs the streaming chain with
 ``availableNow`` triggers into a fresh folder under the session's
 checkpoint directory, and reads a sink back as a batch DataFrame.  The
 chain runs once per (session, input folder) and is shared by the reports.
 
-Sinks whose content does not depend on micro-batch boundaries (bronze,
-quarantine, dimensions) have an oracle; the watermark-dependent ones
-(silver, fact, rollup, health) are checked by row count here and by the
-conservation law and batch equality in the tests.
+In the chain a micro-batch spans far more than the watermark delay, so nothing is
+late and every sink has a plain SQL answer: silver and fact equal the batch
+tables, the rollup equals the batch rollup on closed hours.  ``watermark`` and
+``late_arrivals`` use a second feed whose late messages are delivered last, so
+that the watermark really drops rows.
 """
 
 from __future__ import annotations
@@ -19,16 +20,21 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from urbanpulse.operators import silver
+from urbanpulse import schemas as S
+from urbanpulse.operators import gold, quality, silver
 from urbanpulse.plans.catalog import REPORTS as BATCH
+from urbanpulse.plans.oracle import with_base
 from urbanpulse.session import checkpoint_dir
+from urbanpulse.sources import bronze as B
 from urbanpulse.streaming import jobs
 from urbanpulse.streaming.health import StreamHealth
 
 REPORTS: dict = {}
-FEED_FILES = 12
+DATABASE = "telemetry"
+ROWS_PER_FILE = 2_000
 FILES_PER_TRIGGER = 2
 _RUNS: dict = {}
+_LATE: dict = {}
 
 
 def report(name, sql):
@@ -45,7 +51,7 @@ def _run(lh):
         return _RUNS[key]
     root = os.path.join(checkpoint_dir(lh.spark), "streams", uuid.uuid4().hex[:12])
     feed = os.path.join(root, "_feed")
-    jobs.write_message_files(lh.messages, feed, FEED_FILES)
+    jobs.write_message_files(lh.messages, feed, ROWS_PER_FILE)
     health = StreamHealth().attach(lh.spark)
     try:
         paths = jobs.run_chain(lh.spark, jobs.message_stream(lh.spark, feed, FILES_PER_TRIGGER), root,
@@ -57,6 +63,41 @@ def _run(lh):
     return _RUNS[key]
 
 
+def _late_run(lh):
+    """Run (once) silver over a feed that delivers the late messages last.
+
+    Three deliveries, one micro-batch each: on-time messages of partition 0, the other
+    on-time messages, and the messages over the watermark delay late.
+    """
+    key = (lh.spark.sparkContext.applicationId, os.path.abspath(lh.sf_dir))
+    if key in _LATE:
+        return _LATE[key]
+    root = os.path.join(checkpoint_dir(lh.spark), "streams", uuid.uuid4().hex[:12])
+    feed = os.path.join(root, "_feed")
+    late = F.coalesce(F.col("event_ts") < F.col("kafka_timestamp") - F.expr(f"INTERVAL {S.DEDUP_WATERMARK}"),
+                      F.lit(False))
+    messages = lh.evaluated.select(
+        F.col("raw_payload").alias("value"), F.col("kafka_timestamp").alias("timestamp"),
+        F.col("kafka_topic").alias("topic"), F.col("kafka_partition").alias("partition"),
+        F.col("kafka_offset").alias("offset"),
+        F.when(late, 2).when(F.col("kafka_partition") == 0, 0).otherwise(1).alias("delivery"))
+    rows = messages.groupBy("delivery").count().collect()  # three numbers
+    files = max(1, -(-max(r["count"] for r in rows) // (ROWS_PER_FILE * 10)))
+    for k in range(3):
+        part = messages.where(F.col("delivery") == k).drop("delivery")
+        count = next((r["count"] for r in rows if r["delivery"] == k), 0)
+        if count:
+            jobs.write_message_files(part, feed, max(1, -(-count // files)))
+    jobs.use_rocksdb_state(lh.spark)
+    stream = B.bronze(jobs.message_stream(lh.spark, feed, files))
+    evaluated = quality.evaluate(stream, clock="kafka_timestamp", processed_at=F.col("kafka_timestamp"))
+    path = os.path.join(root, "traffic_silver")
+    jobs.stream_append(silver.silver_stream(evaluated), path, os.path.join(root, "_checkpoints", "silver"),
+                       "LateSilverStream").awaitTermination()
+    _LATE[key] = path
+    return path
+
+
 def _read(lh, name):
     paths, _ = _run(lh)
     return lh.spark.read.parquet(paths[name])
@@ -80,20 +121,23 @@ def _stream_table_read(lh):
 
 @report("dim_zone_stream", BATCH["dim_zone"][1])
 def _dim_zone_stream(lh):
-    return _read(lh, "dim_zone")
+    return _read(lh, "dim_zone").where("dim_updated_at IS NOT NULL").drop("dim_updated_at")
 
 
 @report("dim_road_stream", BATCH["dim_road"][1])
 def _dim_road_stream(lh):
-    return _read(lh, "dim_road")
+    return _read(lh, "dim_road").where("dim_updated_at IS NOT NULL").drop("dim_updated_at")
 
 
-@report("stream_dedup", None)
+@report("stream_dedup", BATCH["silver_clean"][1])
 def _stream_dedup(lh):
     return _read(lh, "traffic_silver").drop("ingestion_ts")
 
 
-@report("dual_route", None)
+@report("dual_route", with_base("""
+SELECT a.rows_in, a.quarantined, b.clean, a.rows_in - a.quarantined - b.clean AS dropped
+FROM (SELECT COUNT(*) AS rows_in, COUNT(CASE WHEN dq_status <> 'VALID' THEN 1 END) AS quarantined FROM dq) a,
+     (SELECT COUNT(*) AS clean FROM silver) b"""))
 def _dual_route(lh):
     """Conservation: rows in = quarantined + clean + dropped (duplicates and late)."""
     bronze = _read(lh, "traffic_bronze").agg(F.count(F.lit(1)).alias("rows_in"))
@@ -104,35 +148,76 @@ def _dual_route(lh):
     return totals.withColumn("dropped", F.col("rows_in") - F.col("quarantined") - F.col("clean"))
 
 
-@report("watermark", None)
+# Rows that the second feed loses.  A micro-batch drops rows at or behind the watermark
+# that held before the previous one: for the third delivery, what the first one set.
+_LOST_CTE = """
+delivered AS (SELECT *, CASE WHEN event_ts < kafka_timestamp - INTERVAL 15 MINUTE THEN 2
+                             WHEN kafka_partition = 0 THEN 0 ELSE 1 END AS delivery FROM valid),
+mark AS (SELECT date_trunc('milliseconds', MAX(event_ts)) - INTERVAL 15 MINUTE AS w FROM delivered
+         WHERE delivery = 0),
+kept AS (SELECT vehicle_id, event_ts FROM delivered, mark WHERE delivery < 2 OR event_ts > w),
+lost AS (SELECT * FROM (SELECT d.* FROM delivered d, mark WHERE d.delivery = 2 AND d.event_ts <= mark.w) l
+  WHERE NOT EXISTS (SELECT 1 FROM kept k WHERE k.vehicle_id = l.vehicle_id AND k.event_ts = l.event_ts)
+  QUALIFY row_number() OVER (PARTITION BY vehicle_id, event_ts
+    ORDER BY kafka_timestamp, kafka_topic, kafka_partition, kafka_offset) = 1)"""
+
+
+@report("watermark", with_base("""
+SELECT (SELECT COUNT(*) FROM lost) AS lost_keys,
+  (SELECT COUNT(*) FROM (SELECT DISTINCT vehicle_id, event_ts FROM kept)) AS kept_keys""", extra_ctes=_LOST_CTE))
 def _watermark(lh):
-    """VALID rows the streamed silver lost behind the watermark (J5 on a real stream)."""
-    return silver.late_arrivals(lh.valid, _read(lh, "traffic_silver")).select(
-        "vehicle_id", "event_ts", "kafka_timestamp", "kafka_offset")
+    """Keys that the streamed silver lost behind the watermark, and those it has."""
+    stored = lh.spark.read.parquet(_late_run(lh))
+    lost = silver.late_arrivals(lh.valid, stored).agg(F.count(F.lit(1)).alias("lost_keys"))
+    kept = stored.select(*silver.DEDUP_KEYS).distinct().agg(F.count(F.lit(1)).alias("kept_keys"))
+    both = lost.unionByName(kept, allowMissingColumns=True)
+    return both.agg(F.max("lost_keys").alias("lost_keys"), F.max("kept_keys").alias("kept_keys"))
+
 
+@report("late_arrivals", with_base("""
+SELECT vehicle_id, event_ts, kafka_timestamp, kafka_partition, kafka_offset FROM lost""", extra_ctes=_LOST_CTE))
+def _late_arrivals(lh):
+    """VALID rows that a streamed silver lost, recovered from the valid rows."""
+    return silver.late_arrivals(lh.valid, lh.spark.read.parquet(_late_run(lh))).select(
+        "vehicle_id", "event_ts", "kafka_timestamp", "kafka_partition", "kafka_offset")
 
-@report("medallion_chain", None)
+
+@report("medallion_chain", BATCH["fact_traffic"][1])
 def _chain(lh):
-    return _read(lh, "fact_traffic")
+    return _read(lh, "fact_traffic").select(*gold.FACT_COLUMNS)
+
+
+REPORTS["pipeline_chain"] = REPORTS["medallion_chain"]
 
 
-@report("stream_hourly_rollup", None)
+@report("stream_hourly_rollup", f"""
+SELECT * FROM ({BATCH["agg_hourly_congestion"][1]})
+WHERE event_date + event_hour * INTERVAL 1 HOUR + INTERVAL 1 HOUR <=
+  (SELECT date_trunc('milliseconds', MAX(event_ts)) - INTERVAL 15 MINUTE FROM ({BATCH["fact_traffic"][1]}))""")
 def _rollup(lh):
-    return _read(lh, "agg_hourly_congestion")
+    """The rollup of closed hours: those the watermark has passed.  Open hours are not out yet."""
+    return _read(lh, "agg_hourly_congestion").drop("computed_at")
 
 
-@report("stream_health", None)
+@report("stream_health", with_base("""
+SELECT q AS query_name, CAST(rows_in AS BIGINT) AS rows_in, CAST(0 AS BIGINT) AS rows_dropped_by_watermark,
+  CAST(dups AS BIGINT) AS duplicate_rows_dropped
+FROM (SELECT (SELECT COUNT(*) FROM msgs) AS m, (SELECT COUNT(*) FROM silver) AS s, (SELECT COUNT(*) FROM valid) AS v) n,
+LATERAL (VALUES ('BronzeIngestionStream', n.m, 0), ('SilverCleanStream', n.m, n.v - n.s), ('QuarantineDLQStream', n.m, 0),
+         ('GoldFactStream', n.s, 0), ('DimZoneStream', n.s, 0), ('DimRoadStream', n.s, 0),
+         ('HourlyRollupStream', n.m, n.v - n.s)) AS t(q, rows_in, dups)"""))
 def _health(lh):
+    """Rows in and rows dropped of every query of the chain."""
     _, health = _run(lh)
-    return health.report(lh.spark)
+    return health.report(lh.spark).select("query_name", "rows_in", "rows_dropped_by_watermark",
+                                          "duplicate_rows_dropped")
 
 
 @report("register_tables", BATCH["kpi_speeding_by_road"][1])
 def _register(lh):
-    """Stored lakehouse tables named as views, queried with Spark SQL."""
+    """Every stored table of the lakehouse in a catalog database, queried with Spark SQL."""
     stored = lh.materialize(os.path.join(checkpoint_dir(lh.spark), "lakehouse", uuid.uuid4().hex[:12]))
-    jobs.register_tables(lh.spark, {"fact_traffic": stored._tables["fact_traffic"],
-                                    "dim_road": stored._tables["dim_road"]})
+    jobs.register_tables(lh.spark, stored._tables, DATABASE)
     return lh.spark.sql("""
         SELECT r.road_id, r.road_type, r.speed_limit_kmh,
                COUNT(f.vehicle_id) AS total_sampled_vehicles,
@@ -140,6 +225,6 @@ def _register(lh):
                CAST(ROUND(CAST(AVG(f.speed_kmh - r.speed_limit_kmh) AS DECIMAL(30,10)), 2) AS DOUBLE) AS avg_speed_delta,
                CAST(ROUND(CAST(try_divide(CAST(SUM(CASE WHEN f.speed_kmh > r.speed_limit_kmh THEN 1 ELSE 0 END) AS DOUBLE) * 100,
                                           COUNT(f.vehicle_id)) AS DECIMAL(30,10)), 2) AS DOUBLE) AS speeding_violation_rate_pct
-        FROM fact_traffic f JOIN dim_road r ON f.road_id = r.road_id
+        FROM telemetry.fact_traffic f JOIN telemetry.dim_road r ON f.road_id = r.road_id
         GROUP BY r.road_id, r.road_type, r.speed_limit_kmh
         ORDER BY speeding_violation_rate_pct DESC, r.road_id""")
