@@ -16,10 +16,12 @@ offset h, until ranks are unique or 2h passes the threshold.  Here:
    its windows cover (up to 3h bytes).  Within one such class all windows are
    equal, so all but the first member are repeats as a whole: long repeats and
    exact copies are settled here without a row per byte.
-3. **Doubling.**  Where classes share an anchor rank (a repeat starts or ends
-   nearby), the windows of each class's first member are ranked by the pair (rank
-   at p, rank at p + h).  The first window of a pair stays, the others are
-   repeats; 2h reaches the threshold, so this is the last round.
+3. **Closer context.**  Where classes share an anchor rank (a repeat starts or ends
+   nearby), the windows of each class's first member are taken eight at a time.  Runs
+   whose common bytes are unique drop out; of equal runs all but the first are repeats.
+4. **Doubling.**  The windows of the first of each run that is still shared are ranked
+   by the pair (rank at p, rank at p + h).  The first window of a pair stays, the
+   others are repeats; 2h reaches the threshold, so this is the last round.
 
 Ranks are names (64 bits for a half, 128 for what decides), given per content; the
 order among equals is the position.  All steps are partial aggregations and joins
@@ -41,9 +43,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import cut, text_hash, utf8, whole_text
+from .common import cut, seal, twin_hash, utf8, whole_text
 
 LENGTH = 100
+RUN = 8
 _CHUNK = 1 << 19  # window starts ranked at once
 _PLACE = 20       # bits of a place in a chunk
 _BASE = np.uint64(0x2D358DCCAA6C78A5)
@@ -187,8 +190,43 @@ def _emit_contexts(length: int):
     return run
 
 
+def _emit_runs(length: int):
+    """mapInArrow body: (doc_id, th, text, places) -> the anchors' windows in runs of up to ``RUN``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = utf8(batch.column(2))
+            view = memoryview(data)
+            places = batch.column(3)
+            owner = np.repeat(np.arange(batch.num_rows), np.diff(places.offsets.to_numpy()))
+            place, first, last = _unpack(places.flatten().to_numpy())
+            # run q holds the windows that start 8q to 8q + 7 bytes before the anchor
+            low, high = (place - last) // RUN, (place - first) // RUN
+            pick = np.repeat(np.arange(len(place)), high - low + 1)
+            q = low[pick] + np.arange(len(pick)) - np.repeat(np.cumsum(high - low + 1) - (high - low + 1), high - low + 1)
+            owner, place, first, last = owner[pick], place[pick], first[pick], last[pick]
+            start = np.maximum(first, place - RUN * q - RUN + 1)
+            end = np.minimum(last, place - RUN * q)
+            shift = offsets[owner]
+            full = b"".join(
+                xxhash.xxh3_128_digest(view[i:j], s) for i, j, s in
+                zip((start + shift).tolist(), (end + shift + length).tolist(),
+                    ((place - start) << 16 | (place - end)).tolist(), strict=True))
+            common = np.fromiter(
+                (xxhash.xxh3_64_intdigest(view[i:i + length - RUN + 1], s) for i, s in
+                 zip((place - RUN * q + shift).tolist(), q.tolist(), strict=True)), dtype=np.uint64, count=len(q))
+            pair = np.frombuffer(full, dtype=np.int64).reshape(-1, 2)
+            owner = pa.array(owner)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(pair[:, 0]), pa.array(pair[:, 1]), pa.array(common.view(np.int64)),
+                 batch.column(0).take(owner), batch.column(1).take(owner), pa.array(start << 32 | (end - start))],
+                names=["c1", "c2", "rank", "doc_id", "th", "at"])
+
+    return run
+
+
 def _emit_windows(length: int):
-    """mapInArrow body: (doc_id, th, text, places) -> rank pairs of the anchors' windows."""
+    """mapInArrow body: (doc_id, th, text, runs) -> rank pairs of the runs' windows."""
     half = (length + 1) // 2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -197,7 +235,8 @@ def _emit_windows(length: int):
             data, offsets = utf8(batch.column(2))
             places = batch.column(3)
             bounds = places.offsets.to_numpy().astype(np.int64)
-            _, first, last = _unpack(places.flatten().to_numpy())
+            at = places.flatten().to_numpy()
+            first, last = at >> 32, (at >> 32) + (at & 0xFFFFFFFF)
             bounds = bounds - bounds[0]
             for k in range(batch.num_rows):
                 size = int(offsets[k + 1] - offsets[k])
@@ -215,7 +254,7 @@ def _emit_windows(length: int):
                     owner = pa.array(np.full(len(p), k))
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), batch.column(0).take(owner),
-                         batch.column(1).take(owner), pa.array(p)], names=["r1", "r2", "doc_id", "th", "p"])
+                         batch.column(1).take(owner), pa.array(p)], names=["c1", "c2", "doc_id", "th", "at"])
 
     return run
 
@@ -235,7 +274,7 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 kept.append(view[a:b].tobytes())
                 continue
             x = found.values.to_numpy()
-            start, size = x >> 24, x & 0xFFFFFF
+            start, size = x >> 24, x & 0xFFFFFF  # a size is at most twice the length
             order = np.argsort(start, kind="stable")
             start, reach = start[order], np.maximum.accumulate((start + size)[order])
             new = np.flatnonzero(np.r_[True, start[1:] > reach[:-1]])
@@ -251,13 +290,10 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def repeated_intervals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                        length: int = LENGTH) -> tuple[DataFrame, DataFrame]:
-    """The keyed documents, and (doc_id, th, start, size) of intervals whose bytes are repeats."""
-    if not 8 <= length <= 1 << 15:
-        raise ValueError("length must be 8 to 32768")
-    ids = docs.groupBy(F.col(id_col)).count().where("count > 1")
-    # the text hash tells apart rows of one id; where ids are unique it is left out
-    th = F.lit(0).cast("long") if ids.isEmpty() else text_hash(text_col)
-    keyed = docs.withColumn("_th", th).withColumn("_text", whole_text(text_col))
+    """The keyed documents, and per document (doc_id, th) the intervals whose bytes are repeats, packed."""
+    if not 2 * RUN <= length <= 1 << 15:
+        raise ValueError(f"length must be {2 * RUN} to 32768")
+    keyed = docs.withColumn("_th", twin_hash(docs, id_col, text_col)).withColumn("_text", whole_text(text_col))
     rows = keyed.select(F.col(id_col).alias("doc_id"), F.col("_th").alias("th"), F.col("_text").alias("text")) \
         .where(F.octet_length("text") >= length)
     kind = rows.schema["doc_id"].dataType.simpleString()
@@ -273,43 +309,57 @@ def repeated_intervals(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         return (rows.alias("d").join(places.alias("p"), F.expr("d.doc_id <=> p.doc_id and d.th = p.th"))
                 .select("d.doc_id", "d.th", "d.text", "p.places"))
 
+    me = F.struct("doc_id", "th", "at")
+
+    def classes(ranked: DataFrame, *more) -> DataFrame:
+        """First member and size of each class."""
+        return cut(ranked.groupBy("c1", "c2").agg(F.min(me).alias("first"), F.count(F.lit(1)).alias("n"), *more),
+                   "suffix-classes")
+
+    def covered(ranked: DataFrame, first: DataFrame, start, size) -> DataFrame:
+        """Per document: intervals (packed) of all members but the first of their class."""
+        late = (ranked.join(first.where("n > 1").select("c1", "c2", "first"), ["c1", "c2"])
+                .where(me != F.col("first")))
+        return cut(late.groupBy("doc_id", "th").agg(F.collect_list(
+            F.shiftleft(start, 24).bitwiseOR(size.cast("long"))).alias("cover")), "suffix-cover")
+
+    def shared(first: DataFrame) -> DataFrame:
+        """Per document: first members of the classes that share their rank with another class."""
+        often = cut(first.groupBy("rank").count().where("count > 1").select("rank"), "suffix-ranks")
+        return (first.join(often, "rank", "left_semi").select("first.*")
+                .groupBy("doc_id", "th").agg(F.collect_list("at").alias("places")))
+
     # 2. ranks in context; all but the first of a class are repeats as a whole
+    low = F.lit(0xFFFF)
     ranked = cut(with_text(left).mapInArrow(_emit_contexts(length), f"c1 long, c2 long, rank long, {key}, at long"),
                  "suffix-contexts")
-    me = F.struct("doc_id", "th", "at")
-    first = cut(ranked.groupBy("c1", "c2").agg(F.min(me).alias("first"), F.min("rank").alias("rank"),
-                                               F.count(F.lit(1)).alias("n")), "suffix-classes")
-    again = (ranked.join(first.where("n > 1").select("c1", "c2", "first"), ["c1", "c2"]).where(me != F.col("first"))
-             .select("doc_id", "th",
-                     (F.shiftright("at", 32) - F.shiftright("at", 16).bitwiseAND(F.lit(0xFFFF))).alias("start"),
-                     (F.shiftright("at", 16).bitwiseAND(F.lit(0xFFFF)) - F.col("at").bitwiseAND(F.lit(0xFFFF))
-                      + length).alias("size")))
-
-    # 3. rank pairs where classes share a rank
-    shared = first.groupBy("rank").count().where("count > 1").select("rank")
-    edges = (first.join(shared, "rank", "left_semi").select("first.*")
-             .groupBy("doc_id", "th").agg(F.collect_list("at").alias("places")))
-    pairs = cut(with_text(edges).mapInArrow(_emit_windows(length), f"r1 long, r2 long, {key}, p long"),
-                "suffix-pairs")
-    here = F.struct("doc_id", "th", "p")
-    # written: a join with a stored table lets Spark split a hot pair's rows
-    leader = cut(pairs.groupBy("r1", "r2").agg(F.min(here).alias("first"), F.count(F.lit(1)).alias("n"))
-                 .where("n > 1").drop("n"), "suffix-leaders")
-    late = (pairs.join(leader, ["r1", "r2"]).where(here != F.col("first"))
-            .select("doc_id", "th", F.col("p").alias("start"), F.lit(length).cast("long").alias("size")))
-    return keyed, again.unionByName(late)
+    first = classes(ranked, F.min("rank").alias("rank"))
+    to_first = F.shiftright("at", 16).bitwiseAND(low)
+    cover = covered(ranked, first, F.shiftright("at", 32) - to_first,
+                    to_first - F.col("at").bitwiseAND(low) + length)
+
+    # 3. the same for runs of windows, where classes share a rank
+    ranked = cut(with_text(shared(first)).mapInArrow(
+        _emit_runs(length), f"c1 long, c2 long, rank long, {key}, at long"), "suffix-runs")
+    first = classes(ranked, F.min("rank").alias("rank"))
+    cover = cover.unionByName(covered(ranked, first, F.shiftright("at", 32),
+                                      F.col("at").bitwiseAND(F.lit(0xFFFFFFFF)) + length))
+
+    # 4. rank pairs of single windows
+    ranked = cut(with_text(shared(first)).mapInArrow(_emit_windows(length), f"c1 long, c2 long, {key}, at long"),
+                 "suffix-pairs")
+    cover = cover.unionByName(covered(ranked, classes(ranked), F.col("at"), F.lit(length)))
+    return keyed, cover.groupBy("doc_id", "th").agg(F.flatten(F.collect_list("cover")).alias("_cover"))
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    length: int = LENGTH) -> DataFrame:
     """``docs`` with ``removed`` (byte spans) and ``kept`` (the other bytes); such columns are replaced."""
-    keyed, intervals = repeated_intervals(docs.drop("removed", "kept"), id_col, text_col, length)
-    # size stays below 2^24: at most twice the length
-    cover = intervals.groupBy("doc_id", "th").agg(F.collect_set(
-        F.shiftleft("start", 24).bitwiseOR(F.col("size").cast("long"))).alias("_cover"))
+    docs, (id_col, text_col), unseal = seal(docs, id_col, text_col)
+    keyed, cover = repeated_intervals(docs, id_col, text_col, length)
     same = F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_th") == F.col("th"))
     rows = keyed.join(cover.withColumnRenamed("doc_id", "_id"), same, "left").drop("_id", "th", "_th")
     kept = [f for f in rows.schema.fields if f.name not in ("_text", "_cover")]
     schema = T.StructType([*kept, *T._parse_datatype_string(
         "removed array<struct<start:long,end:long>>, kept binary").fields])
-    return rows.mapInArrow(_remove, schema)
+    return unseal(rows.mapInArrow(_remove, schema), "removed", "kept")
