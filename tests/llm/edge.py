@@ -5,7 +5,9 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import tempfile
 
+import pytest
 import xxhash
 from pyspark.sql import SparkSession
 
@@ -76,6 +78,16 @@ def write_tables(spark: SparkSession, folder: str, empty: bool = False) -> str:
     return folder
 
 
+@pytest.fixture(scope="session")
+def edge_dir(spark):
+    return write_tables(spark, tempfile.mkdtemp(prefix="run-"))
+
+
+@pytest.fixture(scope="session")
+def empty_dir(spark):
+    return write_tables(spark, tempfile.mkdtemp(prefix="run-"), empty=True)
+
+
 def signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 

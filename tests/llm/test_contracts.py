@@ -5,6 +5,7 @@ import random
 import duckdb
 import edge
 import pytest
+from edge import edge_dir, empty_dir  # noqa: F401  (fixtures)
 from pyspark.sql import functions as F
 
 from urbanpulse.llm import (decontaminate, digest, licenses, lines, mixing, quality, secret_field, simhash, suffixes,

@@ -3,6 +3,7 @@
 import corpus_pipeline
 import edge
 import pytest
+from edge import edge_dir, empty_dir  # noqa: F401  (fixtures)
 from pyspark.sql import functions as F
 
 from urbanpulse.llm import mixing, quality
