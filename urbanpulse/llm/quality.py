@@ -37,6 +37,7 @@ from .common import seal, texts, whole_text
 MAX_ROWS = 8_000
 THRESHOLD = 0.7
 _CHUNK = 1 << 18
+_ROWS = 512  # texts whose features are held at once
 
 
 def _byte_classes() -> np.ndarray:
@@ -210,11 +211,13 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         F.broadcast(chosen), "_id").select("_id", "_y", F.array_join("_part", ",").alias("_part"), "_text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x = features(list(texts(batch.column(3))))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), batch.column(2),
-                 pa.array([r.tobytes() for r in x], type=pa.binary())], names=["_id", "_y", "_part", "x"])
+        for whole in batches:
+            for at in range(0, whole.num_rows, _ROWS):
+                batch = whole.slice(at, _ROWS)
+                x = features(list(texts(batch.column(3))))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), batch.column(1), batch.column(2),
+                     pa.array([r.tobytes() for r in x], type=pa.binary())], names=["_id", "_y", "_part", "x"])
 
     id_type = rows.schema["_id"].dataType.simpleString()
     found = rows.mapInArrow(run, f"_id {id_type}, _y int, _part string, x binary").orderBy("_id", "x").toArrow()
@@ -237,7 +240,8 @@ def score(model: Model, text_col: str = "text") -> Column:
 
     @arrow_udf("double")
     def run(column: pa.Array) -> pa.Array:
-        return pa.array(model.score(features(list(texts(column)))))
+        parts = [model.score(features(list(texts(column.slice(at, _ROWS))))) for at in range(0, len(column), _ROWS)]
+        return pa.array(np.concatenate(parts) if parts else np.zeros(0))
 
     return run(whole_text(text_col))
 
