@@ -114,12 +114,6 @@ class Lakehouse:
         stored = self._stored("dim_zones_mart")
         return stored.drop("dbt_updated_at") if stored is not None else gold.dim_zones_mart(self.stg)
 
-    @cached_property
-    def kpi_mart(self) -> DataFrame:
-        stored = self._stored("fct_hourly_traffic_kpis")
-        return stored.drop("aggregated_at") if stored is not None else rollups.fct_hourly_traffic_kpis(
-            self.stg, self.dim_roads_mart)
-
     @cached_property
     def dim_roads_mart(self) -> DataFrame:
         stored = self._stored("dim_roads_mart")
