@@ -38,7 +38,7 @@ from .common import cut, seal, text_hash, whole_text
 OTHER = "*"
 SLOTS = 100
 BLOCK_CHARS = 65_536
-ROWS_PER_BUCKET = 20_000
+ROWS_PER_BUCKET = 2_500
 #: Target weights of the production mix.
 WEIGHTS = {"src0": 0.20, **{f"src{k}": 0.05 for k in range(1, 10)},
            **{f"src{k}": 0.03 for k in range(10, 20)}, OTHER: 0.05}
@@ -134,5 +134,6 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, id_col: str =
         F.col("offset").alias("mix_offset"), "in_mix"), "mix-plan")
     same = F.col(id_col).eqNullSafe(F.col("_id")) & (text_hash(text_col) == F.col("_hash"))
     order = ["slot", "mix_offset", id_col]
-    return unseal(docs.join(plan, same).repartitionByRange(*order).sortWithinPartitions(*order),
+    # a merge join at every size: the plan grows with the documents
+    return unseal(docs.join(plan.hint("merge"), same).repartitionByRange(*order).sortWithinPartitions(*order),
                   "mix_source", "slot", "mix_offset", "in_mix")
