@@ -326,7 +326,8 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
         F.col("f.doc_id").alias("_id"), F.col("f.text_hash").alias("_hash"), F.col("t.times").alias("_times"))
     keep = cut(keep, "simhash-keep")
     same = F.col(id_col).eqNullSafe(F.col("_id")) & (text_hash(text_col) == F.col("_hash"))
-    single = docs.join(keep.where("_times = 1"), same, "left_semi")
+    # a merge join at every size: what stays grows with the documents
+    single = docs.join(keep.where("_times = 1").hint("merge"), same, "left_semi")
     repeated = keep.where("_times > 1")
     if repeated.isEmpty():
         return unseal(single)
