@@ -63,7 +63,17 @@ def cut(df: DataFrame, label: str) -> DataFrame:
         df.write.parquet(path)
     finally:
         spark.conf.set(key, before)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._cut_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``cut`` wrote and that no plan still to run reads."""
+    for table_ in tables:
+        spark = table_.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(table_._cut_path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def seal(docs: DataFrame, *columns: str):

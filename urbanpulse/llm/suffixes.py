@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import cut, seal, twin_hash, utf8, whole_text
+from .common import cut, discard, seal, twin_hash, utf8, whole_text
 
 LENGTH = 100
 RUN = 8
@@ -306,7 +306,8 @@ def repeated_intervals(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         .join(often, "rank", "left_semi").groupBy("doc_id", "th").agg(F.collect_list("at").alias("places"))
 
     def with_text(places: DataFrame) -> DataFrame:
-        return (rows.alias("d").join(places.alias("p"), F.expr("d.doc_id <=> p.doc_id and d.th = p.th"))
+        # merge joins at every size: the places grow with the documents
+        return (rows.alias("d").join(places.hint("merge").alias("p"), F.expr("d.doc_id <=> p.doc_id and d.th = p.th"))
                 .select("d.doc_id", "d.th", "d.text", "p.places"))
 
     me = F.struct("doc_id", "th", "at")
@@ -326,29 +327,39 @@ def repeated_intervals(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     def shared(first: DataFrame) -> DataFrame:
         """Per document: first members of the classes that share their rank with another class."""
         often = cut(first.groupBy("rank").count().where("count > 1").select("rank"), "suffix-ranks")
-        return (first.join(often, "rank", "left_semi").select("first.*")
-                .groupBy("doc_id", "th").agg(F.collect_list("at").alias("places")))
+        places = cut(first.join(often, "rank", "left_semi").select("first.*")
+                     .groupBy("doc_id", "th").agg(F.collect_list("at").alias("places")), "suffix-places")
+        discard(often)
+        return places
 
     # 2. ranks in context; all but the first of a class are repeats as a whole
     low = F.lit(0xFFFF)
     ranked = cut(with_text(left).mapInArrow(_emit_contexts(length), f"c1 long, c2 long, rank long, {key}, at long"),
                  "suffix-contexts")
+    discard(often)
     first = classes(ranked, F.min("rank").alias("rank"))
     to_first = F.shiftright("at", 16).bitwiseAND(low)
     cover = covered(ranked, first, F.shiftright("at", 32) - to_first,
                     to_first - F.col("at").bitwiseAND(low) + length)
 
     # 3. the same for runs of windows, where classes share a rank
-    ranked = cut(with_text(shared(first)).mapInArrow(
+    places = shared(first)
+    discard(ranked, first)
+    ranked = cut(with_text(places).mapInArrow(
         _emit_runs(length), f"c1 long, c2 long, rank long, {key}, at long"), "suffix-runs")
+    discard(places)
     first = classes(ranked, F.min("rank").alias("rank"))
     cover = cover.unionByName(covered(ranked, first, F.shiftright("at", 32),
                                       F.col("at").bitwiseAND(F.lit(0xFFFFFFFF)) + length))
 
     # 4. rank pairs of single windows
-    ranked = cut(with_text(shared(first)).mapInArrow(_emit_windows(length), f"c1 long, c2 long, {key}, at long"),
+    places = shared(first)
+    discard(ranked, first)
+    ranked = cut(with_text(places).mapInArrow(_emit_windows(length), f"c1 long, c2 long, {key}, at long"),
                  "suffix-pairs")
-    cover = cover.unionByName(covered(ranked, classes(ranked), F.col("at"), F.lit(length)))
+    first = classes(ranked)
+    cover = cover.unionByName(covered(ranked, first, F.col("at"), F.lit(length)))
+    discard(places, ranked, first)
     return keyed, cover.groupBy("doc_id", "th").agg(F.flatten(F.collect_list("cover")).alias("_cover"))
 
 
@@ -358,7 +369,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     docs, (id_col, text_col), unseal = seal(docs, id_col, text_col)
     keyed, cover = repeated_intervals(docs, id_col, text_col, length)
     same = F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_th") == F.col("th"))
-    rows = keyed.join(cover.withColumnRenamed("doc_id", "_id"), same, "left").drop("_id", "th", "_th")
+    rows = keyed.join(cover.withColumnRenamed("doc_id", "_id").hint("merge"), same, "left").drop("_id", "th", "_th")
     kept = [f for f in rows.schema.fields if f.name not in ("_text", "_cover")]
     schema = T.StructType([*kept, *T._parse_datatype_string(
         "removed array<struct<start:long,end:long>>, kept binary").fields])
