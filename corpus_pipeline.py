@@ -33,8 +33,8 @@ def stage_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def stage_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Delete repeated line runs; ``n_chars`` follows the text."""
-    found = lines.dedup_lines(docs, min_words=50)
+    """Delete repeated line runs to their last line; ``n_chars`` follows the text."""
+    found = lines.dedup_lines(docs, min_words=50, whole_runs=True)
     gone = lines.n_removed()
     kept = found.where((gone == 0) | (gone < F.col("n_lines")))
     if "n_chars" in docs.columns:

@@ -243,6 +243,53 @@ def test_lines_random(spark, min_words):
     assert got == sorted(((d, *want[d, t]) for d, t, _ in docs), key=str)
 
 
+def repeated_runs(docs, min_words):
+    """(id, lines kept) where every line of every run that also starts earlier goes, over all runs."""
+    seen, out = set(), []
+    for d, t in edge.in_order(docs):
+        ls = t.split("\n")
+        gone = set()
+        for i in range(len(ls)):
+            for j in range(i, len(ls)):
+                key = tuple(edge.strip(x) for x in ls[i:j + 1])
+                if sum(len(x.split()) for x in key) >= min_words:
+                    if key in seen:
+                        gone |= set(range(i, j + 1))
+                    seen.add(key)
+        out.append((d, len(gone), "\n".join(x for k, x in enumerate(ls) if k not in gone)))
+    return out
+
+
+@pytest.mark.parametrize("min_words", [1, 3, 7, 20])
+def test_lines_whole_runs_random(spark, min_words):
+    rng = random.Random(min_words + 50)
+    pool = ["", " ", "a", "b c", "d e f", "g  h ", " g  h", "i j k l m n o p", "q r s t u v w x y z " * 3]
+    block = [rng.choice(pool) for _ in range(30)]
+    docs = []
+    for i in range(40):
+        at = rng.randint(0, 25)
+        docs.append((i, "\n".join([*(rng.choice(pool) for _ in range(rng.randint(0, 6))),
+                                  *block[at:at + rng.randint(0, 20)]]), "s"))
+    found = lines.dedup_lines(edge.frame(spark, docs), min_words=min_words, whole_runs=True)
+    want = sorted(repeated_runs(docs, min_words), key=str)
+    assert rows(found.select("doc_id", lines.n_removed(), "text")) == want
+    forward = edge.line_texts(docs, min_words)
+    assert min_words == 1 or sum(x[1] for x in want) > sum(x[1] for x in forward.values())
+
+
+@pytest.mark.parametrize("end", ["\n" + "short line of ten words " * 2, "\n", "\n\n \n", "\na\n\nb"])
+def test_lines_copy_loses_every_line(spark, end):
+    text = " ".join(f"w{k}" for k in range(60)) + end
+    docs = edge.frame(spark, [(1, text, "s"), (2, text, "s"), (3, "new\n" + text + "\nown", "s")])
+    got = {r["doc_id"]: r for r in lines.dedup_lines(docs, whole_runs=True).collect()}
+    assert got[1]["text"] == text and got[1]["removed"] == []
+    n = text.count("\n") + 1
+    assert got[2]["text"] == "" and [tuple(x) for x in got[2]["removed"]] == [(0, n)]
+    assert got[3]["text"] == "new\nown"
+    import corpus_pipeline
+    assert {r["doc_id"] for r in corpus_pipeline.stage_lines(spark, docs, "").collect()} == {1, 3}
+
+
 # --- op7 ------------------------------------------------------------------------
 
 def test_secrets_edge(spark, edge_dir):
