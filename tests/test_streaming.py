@@ -1,13 +1,16 @@
 """Streaming chain: conservation, batch equality, restart, dimensions, health."""
 
 import os
+from types import SimpleNamespace
 
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
+from urbanpulse.operators import quality, silver
+from urbanpulse.plans.fixture import telemetry_messages
 from urbanpulse.plans.lakehouse import Lakehouse
 from urbanpulse.sources import bronze as B
-from urbanpulse.streaming import jobs
+from urbanpulse.streaming import jobs, reports
 from urbanpulse.streaming.health import StreamHealth
 
 
@@ -120,3 +123,25 @@ def test_registered_tables(spark, scratch_dir):
     assert "dim_updated_at" in spark.table("telemetry_test.dim_zone").columns
     assert set(jobs.register_tables(spark, stored._tables)) == set(names)
     assert spark.table("dim_road").count() == 5
+
+
+def test_batches_span_arrival_time_at_any_size(spark, scratch_dir, monkeypatch):
+    """Files of half an hour: batches of two would lose the valid rows that are 90 minutes late."""
+    events = spark.range(1, 721).selectExpr(
+        "id AS event_id", "timestamp'2024-01-01' + make_interval(0, 0, 0, 0, 0, CAST(5 * id AS INT)) AS ts",
+        "id % 90 AS user_id", "'view' AS event_type", "CAST(id % 100 AS DOUBLE) AS value")
+    messages = telemetry_messages(events)
+    feed = os.path.join(scratch_dir, "feed")
+    n = jobs.write_message_files(messages, feed, 6)
+    assert 30 < jobs.files_spanning(spark, feed, "24 hours") < n
+    assert jobs.files_spanning(spark, feed, "1000 hours") == n
+    assert jobs.files_spanning(spark, feed, "1 second") <= 2
+    monkeypatch.setattr(reports, "ROWS_PER_FILE", 6)
+    paths, _ = reports._run(SimpleNamespace(spark=spark, sf_dir=scratch_dir, messages=messages))
+    batch = silver.silver_clean(quality.evaluate(B.bronze(messages), clock="kafka_timestamp",
+                                                 processed_at=F.col("kafka_timestamp")))
+    keys = ["vehicle_id", "event_ts"]
+    want = _rows(batch.select(*keys))
+    assert len(want) > 400
+    for name in ("traffic_silver", "fact_traffic"):
+        assert _rows(spark.read.parquet(paths[name]).select(*keys)) == want

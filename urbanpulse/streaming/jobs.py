@@ -66,6 +66,25 @@ def write_message_files(messages: DataFrame, path: str, rows_per_file: int = 1_0
     return len(new)
 
 
+def files_spanning(spark: SparkSession, path: str, span: str) -> int:
+    """The least number n such that any n files in a row, by arrival, span ``span`` or reach the end.
+
+    All files where the whole feed spans less.  Two times per file reach the driver.
+    """
+    seconds = spark.sql(f"SELECT CAST(TIMESTAMP_SECONDS(0) + INTERVAL {span} AS DOUBLE)").first()[0]
+    found = sorted((r[1], r[2]) for r in spark.read.schema(S.MESSAGE_SCHEMA).parquet(path)
+                   .groupBy(F.input_file_name())
+                   .agg(F.min("timestamp").cast("double"), F.max("timestamp").cast("double")).collect())
+    n, end = 1, 0
+    for start, (first, _) in enumerate(found):
+        while end < len(found) and found[end][1] - first < seconds:
+            end += 1
+        if end == len(found):
+            return max(n, len(found) - start)  # the rest spans less: one batch holds it
+        n = max(n, end - start + 1)
+    return n
+
+
 def message_stream(spark: SparkSession, path: str, max_files_per_trigger: int = 1) -> DataFrame:
     """A message stream replayed from files (S5 on the message schema)."""
     return B.read_table_stream(spark, path, S.MESSAGE_SCHEMA,

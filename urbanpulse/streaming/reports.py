@@ -6,9 +6,11 @@ file feed (files by arrival time), runs the streaming chain with
 checkpoint directory, and reads a sink back as a batch DataFrame.  The
 chain runs once per (session, input folder) and is shared by the reports.
 
-In the chain a micro-batch spans far more than the watermark delay, so nothing is
-late and every sink has a plain SQL answer: silver and fact equal the batch
-tables, the rollup equals the batch rollup on closed hours.  ``watermark`` and
+In the chain a micro-batch spans ``BATCH_SPAN`` of arrival time or more, whatever the
+size of the table: it reads as many files as that takes.  A row is dropped only behind
+the watermark of the batch before the previous one, and a valid row is no more than
+``MAX_LATENCY`` late, so nothing is lost and every sink has a plain SQL answer: silver
+and fact equal the batch tables, the rollup equals the batch rollup on closed hours.  ``watermark`` and
 ``late_arrivals`` use a second feed whose late messages are delivered last, so
 that the watermark really drops rows.
 """
@@ -33,6 +35,8 @@ REPORTS: dict = {}
 DATABASE = "telemetry"
 ROWS_PER_FILE = 2_000
 FILES_PER_TRIGGER = 2
+#: Wide against the largest valid lateness (``MAX_LATENCY`` and ``FUTURE_TOLERANCE``).
+BATCH_SPAN = "24 hours"
 _RUNS: dict = {}
 _LATE: dict = {}
 
@@ -52,11 +56,14 @@ def _run(lh):
     root = os.path.join(checkpoint_dir(lh.spark), "streams", uuid.uuid4().hex[:12])
     feed = os.path.join(root, "_feed")
     jobs.write_message_files(lh.messages, feed, ROWS_PER_FILE)
+    files = max(FILES_PER_TRIGGER, jobs.files_spanning(lh.spark, feed, BATCH_SPAN))
     health = StreamHealth().attach(lh.spark)
     try:
-        paths = jobs.run_chain(lh.spark, jobs.message_stream(lh.spark, feed, FILES_PER_TRIGGER), root,
-                               clock="kafka_timestamp", max_files_per_trigger=FILES_PER_TRIGGER,
-                               rollup=True)
+        # Bronze writes at most ``tasks`` files a batch, so twice as many hold a whole batch
+        # of the feed, wherever a downstream batch starts.
+        tasks = min(files, lh.spark.sparkContext.defaultParallelism)
+        paths = jobs.run_chain(lh.spark, jobs.message_stream(lh.spark, feed, files).coalesce(tasks), root,
+                               clock="kafka_timestamp", max_files_per_trigger=2 * tasks, rollup=True)
     finally:
         health.detach(lh.spark)
     _RUNS[key] = (paths, health)
