@@ -344,6 +344,22 @@ def test_field_finds_secrets_that_patterns_miss():
     assert secret_field.find_spans([b"the beta of words12 here"], chain) == [[]]
 
 
+def test_secrets_learn_from_all_documents(spark, monkeypatch):
+    """Rare secrets, deep in a text or in a long line, and other lines from anywhere in a text."""
+    monkeypatch.setattr(secret_field, "train", lambda found: found)
+    plain = "\n".join(f"plain line {k}" for k in range(12))
+    docs = spark.range(4_100).select(F.col("id").alias("doc_id"), F.lit(plain).alias("text"))
+    last = docs.orderBy(F.xxhash64(F.lit(9), "doc_id").desc()).limit(1).first()[0]
+    long = "x " * 50_000 + "token = abcdefghijkl0123"
+    docs = docs.withColumn("text", F.when(F.col("doc_id") == last, F.concat("text", F.lit(
+        "\npassword: hunter2hunter2\n" + long))).otherwise(F.col("text")))
+    found = secret_field.fit(docs)
+    assert sorted(line[a:b] for line, spans, _ in found for a, b in spans) == [b"abcdefghijkl0123", b"hunter2hunter2"]
+    assert {line for line, spans, _ in found if not spans} == set(plain.encode().split(b"\n"))
+    assert max(len(line) for line, _, _ in found) <= secret_field.LONGEST
+    assert len(secret_field.fit(docs, max_lines=6)) == 5  # two with a match, three others
+
+
 # --- op8 ------------------------------------------------------------------------
 
 def library(vocabulary, unknown, byte_fallback):

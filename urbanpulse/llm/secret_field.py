@@ -11,9 +11,10 @@ token's shape (character classes, length, changes between letters and digits),
 the shapes and hashed words of its neighbours, white space around it, and file
 features (digit share, punctuation share, line length of the document).
 
-Training: maximum likelihood (forward-backward, Adam) on the lines of at most
-``max_docs`` documents, the first by a hash of the id: lines with a base match,
-whose value is the secret, and as many others.  No labels are read.
+Training: maximum likelihood (forward-backward, Adam) on at most ``max_lines`` lines
+of all documents, found in one scan: half of them lines with a base match, whose
+value is the secret, and half others, each the first by a hash of the line, one per
+distinct line.  Of a line over ``LONGEST`` bytes a piece trains.  No labels are read.
 
 Decoding is exact Viterbi.  A token is settled as outside when no transition
 could make up for its scores; what lies between settled tokens is decoded
@@ -31,11 +32,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import seal, texts, whole_text
+from .common import cut, seal, texts, whole_text
 
 ASSIGN = re.compile(rb"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?"
                     rb"([A-Za-z0-9+/_.=-]+)", re.IGNORECASE)
@@ -43,8 +45,8 @@ ACCESS = re.compile(rb"AKIA[A-Z0-9]+")
 HEX = re.compile(rb"[0-9a-f]{16,}")  # a run of 16 or more is a whole run: same as [0-9a-f]+ kept from 16 on
 ASSIGN_WORDS = (b"password", b"passwd", b"secret", b"token", b"api_key", b"apikey")
 KINDS = ("assign", "access", "hex", "crf")
-MAX_DOCS = 4_000
 MAX_LINES = 4_000
+LONGEST = 1 << 16
 MIN_CHARS = 8
 
 OUTSIDE, BEGIN, INSIDE = 0, 1, 2
@@ -338,38 +340,72 @@ def train(lines: list[tuple[bytes, list[tuple[int, int]], tuple[int, int, int]]]
     return chain
 
 
-def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_docs: int = MAX_DOCS,
-        max_lines: int = MAX_LINES, **settings) -> Chain | None:
-    """Train on at most ``max_lines`` lines of ``max_docs`` documents; None if no line has a match."""
-    chosen = (docs.select(F.col(id_col).alias("_id")).where("_id is not null").distinct()
-              .orderBy(F.xxhash64(F.lit(9), "_id"), "_id").limit(max_docs))
-    rows = docs.select(F.col(id_col).alias("_id"), whole_text(text_col).alias("_text")).join(
-        F.broadcast(chosen), "_id").select("_text")  # at most max_docs ids
+def _training_lines(k: int):
+    """mapInArrow body: (text) -> the ``k`` lines with a base match and the ``k`` others that hash lowest."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pools: tuple[dict, dict] = ({}, {})
+        worst = [1 << 64, 1 << 64]
+
+        def trim(rank: int) -> None:
+            least = sorted(pools[rank])[:k]
+            kept = {key: pools[rank][key] for key in least}
+            pools[rank].clear()
+            pools[rank].update(kept)
+            if len(least) == k:
+                worst[rank] = least[-1][0]
+
         for batch in batches:
-            out = {"line": [], "spans": [], "file": [], "rank": []}
             for data in texts(batch.column(0)):
-                file = list(file_features(data))
-                values = [(v, e) for _, _, e, v in base_spans(data)]
-                at = 0
-                for k, line in enumerate(data.split(b"\n")):
-                    own = [[a - at, b - at] for a, b in values if at <= a < at + len(line)]
-                    # every line with a match, and the first other lines of the document
-                    if (own or k < 3) and 0 < len(line) <= 1 << 16:
-                        out["line"].append(line)
-                        out["spans"].append(own)
-                        out["file"].append(file)
-                        out["rank"].append(0 if own else 1)
-                    at += len(line) + 1
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(out["line"], pa.binary()), pa.array(out["spans"], pa.list_(pa.list_(pa.int64()))),
-                 pa.array(out["file"], pa.list_(pa.int64())), pa.array(out["rank"], pa.int32())], names=list(out))
-
-    lines = rows.mapInArrow(run, "line binary, spans array<array<bigint>>, file array<bigint>, rank int")
-    order = [F.xxhash64("line"), "line"]
-    found = [(bytes(r[0]), [tuple(s) for s in r[1]], tuple(r[2])) for k in (0, 1) for r in
-             lines.where(F.col("rank") == k).distinct().orderBy(*order).limit(max_lines // 2).collect()]
+                values = sorted((v, e) for _, _, e, v in base_spans(data))
+                file = None
+                at = nth = 0
+                for line in data.split(b"\n"):
+                    end = at + len(line)
+                    own = []
+                    while nth < len(values) and values[nth][0] < end:
+                        own.append((values[nth][0] - at, values[nth][1] - at))
+                        nth += 1
+                    at = end + 1
+                    rank = 0 if own else 1
+                    place = xxhash.xxh64_intdigest(line, 42)
+                    if not line or place > worst[rank]:
+                        continue
+                    if len(line) > LONGEST:  # a piece of it, with its first match
+                        low = max(0, own[0][0] - LONGEST // 2) if own else 0
+                        line = line[low:low + LONGEST]
+                        own = [(x - low, min(y - low, LONGEST)) for x, y in own if x - low < LONGEST]
+                    file = file or tuple(int(x) for x in file_features(data))
+                    found, key = (file, tuple(own)), (place, line)
+                    pools[rank][key] = min(pools[rank].get(key, found), found)
+                    if len(pools[rank]) >= 2 * k:
+                        trim(rank)
+        for rank in (0, 1):
+            trim(rank)
+            rows = list(pools[rank].items())
+            for i in range(0, len(rows), 256):
+                part = rows[i:i + 256]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([rank] * len(part), pa.int32()), pa.array([x[0] - (1 << 63) for x, _ in part], pa.int64()),
+                     pa.array([x[1] for x, _ in part], pa.binary()),
+                     pa.array([list(f) for _, (f, _) in part], pa.list_(pa.int64())),
+                     pa.array([[list(s) for s in o] for _, (_, o) in part], pa.list_(pa.list_(pa.int64())))],
+                    names=["rank", "place", "line", "file", "spans"])
+
+    return run
+
+
+def fit(docs: DataFrame, text_col: str = "text", max_lines: int = MAX_LINES, **settings) -> Chain | None:
+    """Train on at most ``max_lines`` lines of all documents; None if no line has a match."""
+    k = max(1, max_lines // 2)
+    lines = docs.select(whole_text(text_col).alias("_text")).mapInArrow(
+        _training_lines(k), "rank int, place long, line binary, file array<bigint>, spans array<array<bigint>>")
+    # one row per line: a line that all documents hold is one line
+    lines = cut(lines.groupBy("rank", "place", "line").agg(F.min(F.struct("file", "spans")).alias("_of")),
+                "secret-lines")
+    found = [(bytes(r[0]), [tuple(s) for s in r[1]], tuple(r[2])) for rank in (0, 1) for r in
+             lines.where(F.col("rank") == rank).orderBy("place", "line").limit(k)
+             .select("line", "_of.spans", "_of.file").collect()]
     if not any(s for _, s, _ in found):
         return None
     return train(found, **settings)
