@@ -472,3 +472,15 @@ def test_nonnegative_risk_learns_from_positives_and_unlabelled():
     test = np.concatenate([rng.normal(1.5, 1, (500, 4)), rng.normal(-1.5, 1, (500, 4))])
     right = ((model.margin(test) > 0) == (np.arange(1000) < 500)).mean()
     assert right > 0.97
+
+
+def test_quality_takes_one_row_of_an_id(spark):
+    """A chosen id that fills a large share of the rows counts once."""
+    docs = spark.createDataFrame([(k, edge.words(random.Random(k), 20 + k % 30)) for k in range(200)],
+                                 "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(60)], "doc_id long, quality int")
+    hot = next(k for k in range(1, 60, 2) if not docs.where(f"doc_id = {k}").where(quality.held_out()).count())
+    often = docs.unionByName(docs.where(f"doc_id = {hot}").crossJoin(spark.range(400)).select("doc_id", "text"))
+    a, b = quality.fit(docs, labels), quality.fit(often, labels)
+    assert a.weights.any()
+    assert (a.mean == b.mean).all() and (a.weights == b.weights).all() and (a.slope, a.offset) == (b.slope, b.offset)

@@ -12,7 +12,8 @@ margin is mapped to a probability by Platt scaling on those rows.
 
 Bound of the fit: ``max_rows`` trusted positives, ``max_rows`` unlabelled and
 ``max_rows`` labelled rows for scaling, each the first by a hash of the id, so a
-hot source has its share.  Their feature vectors (not their texts) reach the driver.
+hot source has its share.  Of rows that share an id, the text with the least hash
+counts.  Their feature vectors (not their texts) reach the driver.
 Scores cover every whole text.
 
 Labels, language, source and ids are no features.  Nulls and empty texts: the
@@ -32,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from .common import seal, texts, whole_text
+from .common import seal, text_hash, texts, whole_text
 
 MAX_ROWS = 8_000
 THRESHOLD = 0.7
@@ -206,9 +207,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     web = _sample(ids.distinct(), max_rows).select("_id", F.lit(-1).alias("_y"), F.lit("u").alias("_part"))
     chosen = scaling.unionByName(trusted).unionByName(web).groupBy("_id").agg(
         F.max("_y").alias("_y"), F.collect_set("_part").alias("_part"))
-    # at most 3 * max_rows ids: a bound that does not grow with the data
+    # at most 3 * max_rows ids, and a row of each: a bound that does not grow with the data
     rows = docs.select(F.col(id_col).alias("_id"), whole_text(text_col).alias("_text")).join(
-        F.broadcast(chosen), "_id").select("_id", "_y", F.array_join("_part", ",").alias("_part"), "_text")
+        F.broadcast(chosen), "_id").select("_id", "_y", F.array_join("_part", ",").alias("_part"), "_text",
+                                           text_hash("_text").alias("_hash"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -216,11 +218,14 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                 batch = whole.slice(at, _ROWS)
                 x = features(list(texts(batch.column(3))))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), batch.column(1), batch.column(2),
-                     pa.array([r.tobytes() for r in x], type=pa.binary())], names=["_id", "_y", "_part", "x"])
+                    [batch.column(0), batch.column(1), batch.column(2), batch.column(4),
+                     pa.array([r.tobytes() for r in x], type=pa.binary())], names=["_id", "_y", "_part", "_hash", "x"])
 
     id_type = rows.schema["_id"].dataType.simpleString()
-    found = rows.mapInArrow(run, f"_id {id_type}, _y int, _part string, x binary").orderBy("_id", "x").toArrow()
+    # one per id behind the features: vectors are shuffled, not texts, and one per task and id
+    found = (rows.mapInArrow(run, f"_id {id_type}, _y int, _part string, _hash long, x binary")
+             .groupBy("_id", "_y", "_part").agg(F.min(F.struct("_hash", "x")).alias("_of"))
+             .select("_id", "_y", "_part", "_of.x").orderBy("_id", "x").toArrow())
     x = np.frombuffer(b"".join(found["x"].to_pylist()), dtype=np.float32).reshape(-1, WIDTH)
     y = found["_y"].to_numpy()
     part = np.array(found["_part"].to_pylist(), dtype=object)
