@@ -124,6 +124,15 @@ def test_mixing_edge(spark):
     assert {r[0] for r in mixed.where("source is null").select("mix_source").collect()} == {"*"}
 
 
+def test_mix_keeps_rows_of_two_sources(spark):
+    """Rows equal in id and text under two sources of the weights each stay once, with their own."""
+    docs = edge.frame(spark, [(1, "same text", "src0"), (1, "same text", "src1"), (2, "own", "src0"),
+                              (3, "twin", "x"), (3, "twin", "y"), (4, "none", None)])
+    mixed = mixing.mix(docs, {"src0": 0.6, "src1": 0.1, "*": 0.3}, block_chars=4, slots=20)
+    got = sorted((r["doc_id"], r["source"] or "", r["mix_source"]) for r in mixed.collect())
+    assert got == [(1, "src0", "src0"), (1, "src1", "src1"), (2, "src0", "src0"), (3, "x", "*"), (3, "y", "*"), (4, "", "*")]
+
+
 # --- op3 ------------------------------------------------------------------------
 
 def test_suffixes_edge(spark, edge_dir):

@@ -21,8 +21,8 @@ No row is dropped.  ``in_mix`` is true up to the first slot that a source cannot
 fill; behind it the remaining sources go on in the proportions of their weights.
 
 Sources without a weight of their own, and null sources, share the weight of
-``OTHER``.  Nulls and empty texts have no characters.  Rows equal in id and text
-keep together.  Ties of the hash are ordered by id and text hash.  An empty table
+``OTHER``.  Nulls and empty texts have no characters.  Rows equal in id, text and
+source of the weights keep together.  Ties of the hash are ordered by id and text hash.  An empty table
 gives an empty result.  Extra columns are left alone.
 """
 
@@ -30,7 +30,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import cut, seal, text_hash, whole_text
@@ -73,23 +73,26 @@ def period(share: dict[str, int]) -> list[tuple[str, int]]:
     return out
 
 
+def _mix_source(share: dict[str, int], source_col: str) -> Column:
+    """The source of the weights that a row counts for."""
+    named = [s for s in share if s != OTHER]
+    source = F.col(source_col).cast("string")
+    return F.when(source.isin(named), source).otherwise(F.lit(OTHER)) if named else F.lit(OTHER)
+
+
 def schedule(docs: DataFrame, weights: dict[str, float] | None = None, id_col: str = "doc_id",
              text_col: str = "text", source_col: str = "source", slots: int = SLOTS,
              block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """One row per (id, text): doc_id, text_hash, mix_source, block, release, deadline, slot, offset, in_mix.
+    """One row per (id, text, source of the weights): doc_id, text_hash, mix_source, block, release, deadline, slot, offset, in_mix.
 
     ``offset`` is the number of characters of the source before the document; (slot,
     offset, doc_id) is the order of the mix.
     """
     spark = docs.sparkSession
     share = shares(weights or WEIGHTS, slots)
-    named = F.array(*(F.lit(s) for s in share if s != OTHER))
-    source = F.col(source_col).cast("string")
-    group = F.when(F.array_contains(named, source), source).otherwise(F.lit(OTHER)) if len(share) > 1 \
-        else F.lit(OTHER)
     digest = F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary"))
     rows = (docs.select(F.col(id_col).alias("doc_id"), text_hash(text_col).alias("text_hash"),
-                        F.coalesce(group, F.lit(OTHER)).alias("mix_source"),
+                        _mix_source(share, source_col).alias("mix_source"),
                         F.conv(F.substring(digest, 1, 15), 16, 10).cast("long").alias("_o"),
                         F.length(whole_text(text_col)).cast("long").alias("_size"))
             .groupBy("doc_id", "text_hash", "mix_source", "_o").agg(F.sum("_size").alias("_size")))
@@ -132,7 +135,9 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, id_col: str =
     plan = cut(schedule(docs, weights, id_col, text_col, source_col, **settings).select(
         F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "mix_source", "slot",
         F.col("offset").alias("mix_offset"), "in_mix"), "mix-plan")
-    same = F.col(id_col).eqNullSafe(F.col("_id")) & (text_hash(text_col) == F.col("_hash"))
+    own = _mix_source(shares(weights or WEIGHTS, settings.get("slots", SLOTS)), source_col)
+    same = (F.col(id_col).eqNullSafe(F.col("_id")) & (text_hash(text_col) == F.col("_hash"))
+            & (own == F.col("mix_source")))
     order = ["slot", "mix_offset", id_col]
     # a merge join at every size: the plan grows with the documents
     return unseal(docs.join(plan.hint("merge"), same).repartitionByRange(*order).sortWithinPartitions(*order),
