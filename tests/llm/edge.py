@@ -6,6 +6,7 @@ import hashlib
 import random
 import re
 import tempfile
+import zlib
 
 import pytest
 import xxhash
@@ -68,12 +69,173 @@ def benchmark() -> list[tuple]:
     return [(1, whole), (2, few), (3, None), (4, ""), (None, whole), (5, words(random.Random(5), 12)), (1, few), (7, "one")]
 
 
+CONV_SCHEMA = "conv_id long, turn long, role string, text string, conv string, seg int, audit int, times string"
+
+
+def conversations() -> list[tuple]:
+    """(conv_id, turn, role, text) rows: nulls, ties, repeated rows, odd roles, gaps, a conversation of many turns."""
+    rng = random.Random(11)
+    rows = [
+        (None, 0, "user", "Hello."), (None, 1, "assistant", "Hi!"), (None, None, "system", "Be kind."), (None, None, None, None),
+        (1, 0, "system", "One."), (1, 0, "system", "One."), (1, 0, "system", "One."), (1, 1, "assistant", "Two"),
+        (1, 7, "user", ""), (1, 9, "tool", "x."), (2, 0, "user", None), (2, 1, "assistant", " \t\n"), (3, None, "user", "a."),
+        (3, None, "user", "a."), (3, 3, "", "b?"), (3, 3, "User", "b?"), (4, 5, "assistant", "only!"), (5, 2, "user", "日本語 é"),
+        (5, 3, "assistant", "x" * 5_000 + "."), (5, 3, "assistant", "y."), (5, 4, "u", "v."), (6, -2, "user", "q.\x1c"),
+        (6, 4, "assistant", "e.\r\n"), (7, 0, " ", "z."), (7, 0, None, "z."), (8, 0, "system", None)]
+    for c in range(20, 60):
+        for t in range(rng.randint(1, 9)):
+            role = rng.choice(["user", "assistant", "user", "assistant", "system", "tool", None])
+            rows.append((c, rng.choice([t, t, t, None, t + 3]), role, rng.choice(["Yes.", "No", "Well?", "", "Go on!", f"t{t}."])))
+    rows += [(99, t, ("user", "assistant")[t % 2] if t % 13 else "assistant", f"turn {t % 400}" + ".!? "[t % 4])
+             for t in range(900)]
+    return rows
+
+
+def conv_rows(rows, damage: bool = True):
+    """(conv_id, turn, role, text) after the damage of the contract; nulls of role and text are one space."""
+    out = []
+    for c, t, role, text in rows:
+        role, text = " " if role is None else role, " " if text is None else text
+        name = f"{' ' if c is None else c}:{' ' if t is None else t}"
+        kind = zlib.crc32(name.encode()) % 20 if damage else 5
+        if kind == 1:
+            text = ""
+        if kind == 2:
+            text = re.sub("[.!?]", "", text)
+        if kind == 4:
+            role = "user"
+        out += [(c, t, role, text)] * {0: 0, 3: 2}.get(kind, 1)
+    return out
+
+
+def repaired(rows):
+    """op11 of the damaged rows of one conversation, by recursion over (cost, audit, turns)."""
+    rows = sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0, r[2].encode(), r[3].encode()))
+    seen, faults = set(), []
+    for _, _, role, text in rows:
+        shown = re.findall(r"[^\x20\x09-\x0D]", text)
+        faults.append("blank" if not shown else "duplicate" if (role, text) in seen
+                      else "truncated" if shown[-1] not in ".!?" else "")
+        seen.add((role, text))
+    turns = [r[1] for r in rows if r[1] is not None]
+    gaps = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
+    starts = [r[2][:1] for r in rows]
+    illegal = sum(a + b not in ("su", "ua", "au") for a, b in zip(starts, starts[1:]))
+    best: dict = {}
+    # state: the initial of the last turn ("" before the first)
+    can = {"": "su", "s": "u", "u": "a", "a": "u"}
+    for i in range(len(rows), -1, -1):
+        for inserts in range(4):
+            for last in ("", "s", "u", "a"):
+                ways = [(0, "", ())] if i == len(rows) and last in ("", "a") else []
+                if i < len(rows):
+                    _, _, role, text = rows[i]
+                    extra = faults[i] == "truncated"
+
+                    def go(cost, letter, turn, state):
+                        rest = best[i + 1, 3, state]
+                        if rest:
+                            ways.append((rest[0] + cost, letter + rest[1], (turn, *rest[2]) if turn else rest[2]))
+
+                    go(3, "D", None, last)
+                    if faults[i] not in ("blank", "duplicate"):
+                        if role[:1] and role[:1] in can[last]:
+                            go(extra, "K", (role, text), role[:1])
+                        for new in ("user", "assistant"):
+                            if new[0] in can[last]:
+                                go(2 + extra, "R", (new, text), new[0])
+                if inserts:
+                    for new in ("user", "assistant"):
+                        rest = best[i, inserts - 1, new[0]] if new[0] in can[last] else None
+                        if rest:
+                            ways.append((rest[0] + 2, "I" + rest[1], ((new, ""), *rest[2])))
+                best[i, inserts, last] = min(ways) if ways else None
+    cost, audit, turns = best[0, 3, ""]
+    assert re.fullmatch("(s?(ua)+)?", "".join(r[0] for r, _ in turns))
+    return (gaps, *(faults.count(f) for f in ("blank", "duplicate", "truncated")), illegal, cost, audit,
+            sha("\n".join(f"{r}:{t}" for r, t in turns).encode()))
+
+
+def conversation_rows(rows):
+    """op11 by brute force."""
+    damaged: dict = {}
+    for r in conv_rows(rows):
+        damaged.setdefault(r[0], []).append(r)
+    empty = (0, 0, 0, 0, 0, 0, "", sha(b""))
+    return sorted(((c, *(repaired(damaged[c]) if c in damaged else empty)) for c in {r[0] for r in rows}), key=str)
+
+
+def split_words(text: str | None) -> list[str]:
+    return re.findall(r"[^\x20\x09-\x0D]+", text or "")
+
+
+def rule_rows(rows):
+    """The fixed columns of op12 by brute force."""
+    out = []
+    for d, t, *_ in rows:
+        w, t = split_words(t), t or ""
+        grams: dict = {}
+        for i in range(len(w) - 4):
+            grams.setdefault(tuple(w[i:i + 5]), []).append(i)
+        again = {p for at in grams.values() if len(at) > 1 for i in at for p in range(i, i + 5)}
+        lines = [x for x in t.split("\n") if split_words(x)]
+        out.append((d, len(w), sum(map(len, w)), len(re.findall("[#*$%&|<>]", t)), len(lines) - len(set(lines)), len(again),
+                    len(w) < 10 or 100 * len(again) > 20 * len(w)))
+    return sorted(out, key=str)
+
+
+def looped(doc_id, text):
+    """The words of a text with the loop that op13's contract plants."""
+    w = split_words(text)
+    h = 1 if doc_id is None else zlib.crc32(str(doc_id).encode())
+    if h % 10 == 0 and w:
+        g, n = h // 10, len(w)
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        w = [w[i] if i < a else w[a + (i - a) % p] for i in range(n)]
+    return w
+
+
+def runs(w, least: int = 24, times: int = 3):
+    """(start, length, period) of every run, by comparing each word with each later one."""
+    found: dict = {}
+    for q in range(1, len(w) // times + 1):
+        i = 0
+        while i + q < len(w):
+            if w[i] != w[i + q]:
+                i += 1
+                continue
+            j = i
+            while j + q < len(w) and w[j] == w[j + q]:
+                j += 1
+            if j + q - i >= max(least, times * q):
+                found.setdefault((i, j + q), q)
+            i = j
+    return sorted((s, e - s, q) for (s, e), q in found.items())
+
+
+def periodic_rows(rows):
+    """op13 by brute force."""
+    from fractions import Fraction
+    out = []
+    for d, t, *_ in rows:
+        w = looped(d, t)
+        found = runs(w)
+        gone = {i for s, n, q in found for i in range(s + q, s + n)}
+        best = min(found, key=lambda r: (-Fraction(r[1], r[2]), r[0], r[2]), default=None)
+        out.append((d, len(found), *(best or (None,) * 3), 1000 * best[1] // best[2] if best else None,
+                    sha("".join(f"{s},{n},{q}\n" for s, n, q in found).encode()),
+                    sha(" ".join(x for i, x in enumerate(w) if i not in gone).encode())))
+    return sorted(out, key=str)
+
+
 def write_tables(spark: SparkSession, folder: str, empty: bool = False) -> str:
     rows = documents()
     docs = frame(spark, rows)
     lab = spark.createDataFrame(labels(rows), "doc_id long, quality int, toxic int")
     bench = spark.createDataFrame(benchmark(), "item_id long, text string")
-    for name, df in (("documents", docs), ("labels", lab), ("benchmark", bench)):
+    conv = spark.createDataFrame([(*r, None, None, None, None) for r in conversations()], CONV_SCHEMA)
+    for name, df in (("documents", docs), ("labels", lab), ("benchmark", bench), ("conversations", conv)):
         (df.limit(0) if empty else df).write.parquet(f"{folder}/{name}.parquet")
     return folder
 

@@ -24,6 +24,10 @@ COLUMNS = {
     "op8_tokens": ["doc_id", "n_chars", "n_tokens"],
     "op9_digest": ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"],
     "op10_quality": ["doc_id", "held_out", "score", "predicted"],
+    "op11_conversations": ["conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"],
+    "op12_rules": ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+                   "failed"],
+    "op13_periodic": ["doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"],
 }
 
 

@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, digest, licenses, lines, mixing, quality, secret_field, simhash, suffixes, tokens
+from . import (conversations, decontaminate, digest, licenses, lines, mixing, periodic, quality, rules, secret_field,
+               simhash, suffixes, tokens)
 from .common import sha256_hex, table
 
 
@@ -104,8 +105,70 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                     (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted")))
 
 
+def _damaged(rows: DataFrame) -> DataFrame:
+    """Conversation rows with the damage that their contract states; nulls are one space."""
+    def told(name: str):
+        return F.coalesce(F.col(name).cast("string"), F.lit(" "))
+
+    kind = F.crc32(F.concat_ws(":", told("conv_id"), told("turn"))) % 20
+    text = (F.when(kind == 1, F.lit("")).when(kind == 2, F.regexp_replace(told("text"), "[.!?]", ""))
+            .otherwise(told("text")))
+    role = F.when(kind == 4, F.lit("user")).otherwise(told("role"))
+    copies = F.when(kind == 0, F.lit(0)).when(kind == 3, F.lit(2)).otherwise(F.lit(1))
+    return rows.select("conv_id", "turn", role.alias("role"), text.alias("text"), F.array_repeat(F.lit(0), copies).alias("_n")
+                       ).select("conv_id", "turn", "role", "text", F.explode("_n").alias("_n")).drop("_n")
+
+
+def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cheapest repair of every conversation after the damage of the contract."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    repaired = conversations.repair(_damaged(rows))
+    found = repaired.report.join(
+        conversations.digests(repaired.turns).select(F.col("conv_id").alias("_d"), "repaired_sha256").hint("merge"),
+        F.col("conv_id").eqNullSafe(F.col("_d")), "left").drop("_d").withColumnRenamed("conv_id", "_id")
+    every = rows.select("conv_id").distinct()
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return every.join(found.hint("merge"), F.col("conv_id").eqNullSafe(F.col("_id")), "left").select(
+        "conv_id", *(F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in counts),
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", sha256_hex(F.lit(""))).alias("repaired_sha256"))
+
+
+def op12_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule ledger of every document, and the verdict of the current policy."""
+    found = rules.ledger(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                        (~rules.passes("base")).alias("base_failed"), rules.passes("v1").alias("kept"), "failed")
+
+
+def _looped(doc_id: str = "doc_id", text: str = "text"):
+    """The text with the planted period of the contract; a null id has no hash and keeps its text."""
+    return F.expr(f"""
+    CASE WHEN crc32(CAST({doc_id} AS STRING)) % 10 = 0 THEN array_join(transform(
+      transform(array(named_struct('w', filter(split({text}, '[ \\\\t-\\\\r]+'), w -> w <> ''),
+                                   'g', crc32(CAST({doc_id} AS STRING)) DIV 10)),
+                x -> named_struct('w', x.w, 'n', CAST(size(x.w) AS BIGINT), 'g', x.g,
+                                  'a', IF(size(x.w) > 0, CAST(x.g % size(x.w) AS INT), 0))),
+      x -> array_join(transform(x.w, (w, i) -> IF(i < x.a, w,
+             x.w[x.a + (i - x.a) % CAST(1 + (x.n - x.a) DIV (3 + x.g % 8) AS INT)])), ' ')), ' ')
+    ELSE {text} END""")
+
+
+def op13_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words in every document, after the loops that the contract plants."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("text", _looped())
+    best = periodic.strongest()
+    found = periodic.find_runs(docs).select("doc_id", "runs", "collapsed", best.alias("best"))
+    told = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", *(
+        r[c].cast("string") for c in ("start", "length", "period"))), F.lit("\n"))), "")
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length DIV best.period").alias("exponent_milli"),
+        sha256_hex(told).alias("runs_sha256"), sha256_hex(F.col("collapsed")).alias("collapsed_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (op1_licenses, op2_mixing, op3_suffixes, op4_simhash, op5_decontaminate, op6_lines, op7_secrets, op8_tokens,
-                                   op9_digest, op10_quality)}
+                                   op9_digest, op10_quality, op11_conversations, op12_rules, op13_periodic)}
 
 def _quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
@@ -217,6 +280,29 @@ select d.doc_id, cast(len(d.w) as bigint) as n_words, cast(coalesce(hw.n_hit, 0)
        cast(coalesce(hi.n_items, 0) as bigint) as n_items, sha256(coalesce(hi.ids, '')) as items_sha256,
        coalesce(hw.n_hit, 0) > 0 as contaminated
 from d left join hw using (doc_id) left join hi using (doc_id)
+""",
+    "op12_rules": r"""
+with t as (select doc_id, coalesce(text, '') as text from documents),
+w as (select doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') as w,
+             list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) as ls from t),
+g as (select doc_id, i, array_to_string(w[i:i + 4], ' ') as g
+      from (select doc_id, w, unnest(range(1, len(w) - 3)) as i from w where len(w) >= 5)),
+twice as (select doc_id, i from (select *, count(*) over (partition by doc_id, g) as c from g) where c > 1),
+r as (select doc_id, count(distinct p) as n from (select doc_id, unnest(range(i, i + 5)) as p from twice) group by doc_id),
+m as (
+  select w.doc_id, cast(len(w) as bigint) as n_words,
+         cast(length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) as bigint) as word_chars,
+         cast(length(regexp_replace(text, '[\x00-\x40\x5B-\x60\x7B-\x7F]', '', 'g')) as bigint) as letters,
+         cast(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) as bigint) as n_symbols,
+         cast(len(ls) as bigint) as n_lines, cast(len(ls) - len(list_distinct(ls)) as bigint) as n_dup_lines,
+         cast(coalesce(r.n, 0) as bigint) as n_repeat_words
+  from w left join r using (doc_id)),
+f as (select *, case when n_words < 10 then 1 else 0 end + case when 100 * n_repeat_words > 20 * n_words then 2 else 0 end
+           + case when 10 * n_symbols > n_words then 4 else 0 end + case when 2 * n_dup_lines > n_lines then 8 else 0 end
+           + case when word_chars < 2 * n_words then 16 else 0 end + case when word_chars > 15 * n_words then 32 else 0 end
+           + case when 2 * letters < word_chars then 64 else 0 end as bits from m)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, bits & 3 <> 0 as base_failed, bits = 0 as kept,
+       cast(bits as bigint) as failed from f
 """,
     "op6_lines": r"""
 with t as (select doc_id, coalesce(text, '') as text from documents),
