@@ -12,9 +12,10 @@ beyond the end, so that of equal costs the smaller integer is the smaller string
 minimum of plain integers over a DAG (row by row, the four states of the pattern) decides
 costs and ties alike.
 
-A conversation is cut into blocks of at most ``BLOCK_ROWS`` different rows and about
-``BLOCK_BYTES`` of text, wherever in the sorted table they lie.  Each block gives the least
-integer from every state to every state; blocks are joined by minimum and concatenation.
+The sorted table is cut into blocks of one conversation, of at most ``BLOCK_ROWS`` different
+rows and about ``BLOCK_BYTES`` of text.  A block that holds a whole conversation is solved on the spot.
+Any other block gives the least integer from every state to every state, and such blocks are
+joined by minimum and concatenation.
 (Sequences of equal cost over the same rows never start with one another, because a longer
 one has more inserts: so the least of a block stays the least in the whole.)  A
 conversation with very many rows is thus spread over tasks; only its blocks' integers meet,
@@ -36,11 +37,11 @@ from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import cut
+from .common import cut, sha256_hex
 
 BLOCK_ROWS = 256
 BLOCK_BYTES = 1 << 20
@@ -173,127 +174,112 @@ def replay(letters: str, rows: list[tuple[Row, str]], state: int) -> list[tuple[
 # ---------------------------------------------------------------------------
 # Blocks on Spark
 # ---------------------------------------------------------------------------
-def _faults(rows: DataFrame) -> DataFrame:
-    """One row per different (conv, turn, role, text): ``times``, and whether an earlier turn has role and text."""
-    named = rows.select(
-        F.col("conv_id").alias("conv"), F.col("turn").cast("long").alias("turn"),
-        F.coalesce(F.col("role").cast("string"), F.lit(" ")).alias("role"),
-        F.coalesce(F.col("text").cast("string"), F.lit(" ")).alias("text"))
-    counted = (named.groupBy("conv", "turn", "role", "text").agg(F.count(F.lit(1)).alias("times"))
-               .withColumn("place", F.struct(F.col("turn").isNotNull().alias("known"), F.coalesce("turn", F.lit(0)).alias("at")))
-               .withColumn("th", F.sha2(F.concat_ws(":", F.length("role"), "role", "text"), 256)))
-    counted = cut(counted, "turns-counted")
-    firsts = (counted.groupBy("conv", "th").agg(F.min("place").alias("least"), F.count(F.lit(1)).alias("places"))
-              .where("places > 1").select(F.col("conv").alias("_conv"), F.col("th").alias("_th"), "least"))
-    same = F.col("conv").eqNullSafe(F.col("_conv")) & (F.col("th") == F.col("_th"))
-    return (counted.join(firsts.hint("merge"), same, "left")
-            .select("conv", "turn", "role", "text", "times",
-                    F.coalesce(F.col("place") > F.col("least"), F.lit(False)).alias("again")))
+_LONG = pa.int64()
+_COUNTS = ("blank", "duplicate", "truncated", "illegal")
+LEGAL = {("s", "u"), ("u", "a"), ("a", "u")}
 
 
-def _blocks(rows: DataFrame) -> DataFrame:
-    """Sorted rows packed into blocks: (conv, seg, opens, closes, rows).
+def _counted(rows: DataFrame, present: Column) -> DataFrame:
+    """One row per different (conv, turn, role, text): ``times`` it is there, and whether an earlier turn says the same.
 
-    ``seg`` grows along the sorted table.  ``opens``: the conversation surely starts here;
-    ``closes``: it surely ends here.  Both are unsure only at the ends of a partition.
+    Rows that are not there keep their conversation known, without role and text.
     """
-    kind = rows.schema["conv"].dataType
-    row_type = pa.struct([("turn", pa.int64()), ("role", pa.string()), ("text", pa.string()), ("times", pa.int64()),
-                          ("again", pa.bool_())])
-    names = ["conv", "seg", "opens", "closes", "rows"]
+    def told(name: str) -> Column:
+        return F.when(present, F.coalesce(F.col(name).cast("string"), F.lit(" "))).otherwise(F.lit(""))
+
+    named = rows.select(F.col("conv_id").alias("conv"), F.when(present, F.col("turn").cast("long")).alias("turn"),
+                        told("role").alias("role"), told("text").alias("text"), present.cast("int").alias("here"))
+    counted = named.groupBy("conv", "here", "turn", "role", "text").agg(F.count(F.lit(1)).alias("times"))
+    same = F.sha2(F.concat_ws(":", F.length("role"), "role", "text"), 256)
+    # rows equal in turn, too, are one row by now; the frame is a running one: nothing is held
+    order = Window.partitionBy("conv", "here", same).orderBy(F.col("turn").asc_nulls_first())
+    return counted.select("conv", "turn", "role", "text", (F.col("times") * F.col("here")).alias("times"),
+                          (F.row_number().over(order) > 1).alias("again"))
+
+
+def _typed(rows: list[dict]) -> list[tuple[Row, str]]:
+    """The rows that are there, by first fault, with their texts."""
+    out = []
+    for r in rows:
+        if r["times"]:
+            shown = r["text"].rstrip(WHITE)
+            fault = ("blank" if not shown else "duplicate" if r["again"] else "truncated" if shown[-1] not in ".!?" else "")
+            out.append((Row(r["role"], fault, r["times"]), r["text"]))
+    return out
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = TaskContext.get().partitionId() << 32
-        opens, conv, held, size, conv_type = False, None, [], 0, None
 
-        def block(closes: bool) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays(
-                [pa.array([conv], conv_type), pa.array([number], pa.int64()), pa.array([opens]), pa.array([closes]),
-                 pa.array([held], pa.list_(row_type))], names=names)
+def summary(rows: list[dict], opens: bool, closes: bool) -> dict:
+    """Counts of a block and its weights, [4 * start + end] in hexadecimal; those of a whole conversation
+    only as its cost and audit.  ``opens``, ``closes``: the conversation surely starts, ends here."""
+    typed = [r for r, _ in _typed(rows)]
+    width = block_width(typed)
+    turns = [r["turn"] for r in rows if r["times"] and r["turn"] is not None]
+    initials = [r.role[:1] for r in typed]
+    pairs = sum((x, y) not in LEGAL for x, y in zip(initials, initials[1:], strict=False))
+    out = {"width": width, "filled": bool(typed), "first": initials[0] if typed else "", "last": initials[-1] if typed else "",
+           "blank": sum(r.times for r in typed if r.fault == "blank"),
+           "duplicate": sum(r.times if r.fault == "duplicate" else r.times - 1 for r in typed if r.fault != "blank"),
+           "truncated": sum(r.fault == "truncated" for r in typed), "illegal": pairs + sum(r.times - 1 for r in typed),
+           "least": min(turns, default=None), "greatest": max(turns, default=None), "turns": len(set(turns))}
+    if opens and closes:
+        best = least(*(solve(typed, end, width)[START] for end in ACCEPTING))
+        return out | {"weights": [], "cost": best >> BITS * width, "audit": audit_text(best, width)}
+    weights = [""] * 16
+    for end in ACCEPTING if closes else range(4):
+        for start, w in enumerate(solve(typed, end, width)):
+            if w is not None and (start == START or not opens):
+                weights[4 * start + end] = f"{w:x}"
+    return out | {"weights": weights, "cost": None, "audit": None}
+
+
+_BLOCK = ("seg long, whole boolean, rows array<struct<turn:long,role:string,text:string,times:long,again:boolean>>, "
+          "width long, filled boolean, first string, last string, blank long, duplicate long, truncated long, illegal long, "
+          "least long, greatest long, turns long, weights array<string>, cost long, audit string")
+_ROW = pa.struct([("turn", _LONG), ("role", pa.string()), ("text", pa.string()), ("times", _LONG), ("again", pa.bool_())])
+_BLOCK_ARROW = [("seg", _LONG), ("whole", pa.bool_()), ("rows", pa.list_(_ROW)), ("width", _LONG), ("filled", pa.bool_()),
+                ("first", pa.string()), ("last", pa.string()), *((c, _LONG) for c in _COUNTS), ("least", _LONG),
+                ("greatest", _LONG), ("turns", _LONG), ("weights", pa.list_(pa.string())), ("cost", _LONG), ("audit", pa.string())]
 
-        done: list[pa.RecordBatch] = []
+
+def _blocks(rows: DataFrame) -> DataFrame:
+    """The sorted rows in blocks, with their summaries.  ``seg`` grows along the sorted table.
+
+    Only at the ends of a partition it is unsure whether a conversation starts or ends with its block.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, schema = TaskContext.get().partitionId() << 32, None
+        opens, conv, held, size = False, None, [], 0
+        done: list[dict] = []
         waiting = 0
+
+        def block(closes: bool) -> dict:
+            return {"conv": conv, "seg": number, "whole": opens and closes, "rows": held, **summary(held, opens, closes)}
+
         for batch in batches:
-            conv_type = batch.schema.field(0).type
+            schema = schema or pa.schema([("conv", batch.schema.field(0).type), *_BLOCK_ARROW])
             for row in batch.to_pylist():
                 new = row.pop("conv")
                 if held and (new != conv or len(held) >= BLOCK_ROWS or size >= BLOCK_BYTES):
                     done.append(block(new != conv))
-                    waiting += size + 100
+                    waiting += size + 500
                     opens, number, held, size = new != conv, number + 1, [], 0
                     if waiting > BLOCK_BYTES:
-                        yield pa.Table.from_batches(done).combine_chunks().to_batches()[0]
+                        yield from pa.Table.from_pylist(done, schema=schema).to_batches()
                         done, waiting = [], 0
                 conv = new
                 held.append(row)
                 size += len(row["text"])
         if held:
             done.append(block(False))
-        if done:
-            yield pa.Table.from_batches(done).combine_chunks().to_batches()[0]
+            yield from pa.Table.from_pylist(done, schema=schema).to_batches()
 
     by = ["conv", F.col("turn").isNotNull(), "turn", "role", "text"]
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    schema = T.StructType([T.StructField("conv", kind), *T._parse_datatype_string(
-        "seg long, opens boolean, closes boolean, "
-        "rows array<struct<turn:long,role:string,text:string,times:long,again:boolean>>").fields])
+    schema = T.StructType([rows.schema["conv"], *T._parse_datatype_string(_BLOCK).fields])
     return (rows.repartitionByRange(n, *by).sortWithinPartitions(*by)
             .select("conv", "turn", "role", "text", "times", "again").mapInArrow(run, schema))
 
 
-def _typed(rows: list[dict]) -> list[tuple[Row, str]]:
-    out = []
-    for r in rows:
-        shown = r["text"].rstrip(WHITE)
-        fault = ("blank" if not shown else "duplicate" if r["again"] else "truncated" if shown[-1] not in ".!?" else "")
-        out.append((Row(r["role"], fault, r["times"]), r["text"]))
-    return out
-
-
-_SUMMARY = ("seg long, opens boolean, closes boolean, width long, weights array<string>, first string, last string, "
-            "blank long, duplicate long, truncated long, illegal long")
-LEGAL = {("s", "u"), ("u", "a"), ("a", "u")}
-
-
-def _summaries(blocks: DataFrame) -> DataFrame:
-    """Per block: counts of faults and its weights, [4 * start + end] in hexadecimal."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            told = []
-            for conv_rows, seg, opens, closes in zip(*(batch.column(batch.schema.get_field_index(c)).to_pylist()
-                                                       for c in ("rows", "seg", "opens", "closes")), strict=True):
-                rows = [r for r, _ in _typed(conv_rows)]
-                width = block_width(rows)
-                weights = [""] * 16
-                for end in ACCEPTING if closes else range(4):
-                    for start, w in enumerate(solve(rows, end, width)):
-                        if w is not None and (start == START or not opens):
-                            weights[4 * start + end] = f"{w:x}"
-                initials = [r.role[:1] for r in rows]
-                pairs = sum((x, y) not in LEGAL for x, y in zip(initials, initials[1:], strict=False))
-                told.append({
-                    "seg": seg, "opens": opens, "closes": closes, "width": width, "weights": weights,
-                    "first": initials[0], "last": initials[-1],
-                    "blank": sum(r.times for r in rows if r.fault == "blank"),
-                    "duplicate": sum(r.times if r.fault == "duplicate" else r.times - 1 for r in rows if r.fault != "blank"),
-                    "truncated": sum(r.fault == "truncated" for r in rows),
-                    "illegal": pairs + sum(r.times - 1 for r in rows)})
-            table = pa.Table.from_pylist(told, schema=_SUMMARY_ARROW).to_batches()
-            if table:
-                yield pa.RecordBatch.from_arrays([batch.column(0), *table[0].columns], names=["conv", *table[0].schema.names])
-
-    schema = T.StructType([blocks.schema["conv"], *T._parse_datatype_string(_SUMMARY).fields])
-    return blocks.mapInArrow(run, schema)
-
-
-_LONG = pa.int64()
-_SUMMARY_ARROW = pa.schema([
-    ("seg", _LONG), ("opens", pa.bool_()), ("closes", pa.bool_()), ("width", _LONG), ("weights", pa.list_(pa.string())),
-    ("first", pa.string()), ("last", pa.string()), ("blank", _LONG), ("duplicate", _LONG), ("truncated", _LONG),
-    ("illegal", _LONG)])
-
-
 def join_blocks(blocks: list[dict]) -> tuple[int, str, list[tuple[int, int, str]]]:
     """Cost, audit and (block, state at its start, its letters) of a conversation's blocks in order."""
     v: Vector = [0 if p in ACCEPTING else None for p in range(4)]
@@ -319,56 +305,71 @@ def join_blocks(blocks: list[dict]) -> tuple[int, str, list[tuple[int, int, str]
     return v[START] >> BITS * rest, "".join(x for _, _, x in pieces), pieces
 
 
-def _join(summaries: DataFrame) -> DataFrame:
-    """One row per conversation: counts, cost, audit and the pieces of its blocks."""
-    listed = summaries.groupBy("conv").agg(F.array_sort(F.collect_list(F.struct(
-        *(c for c in summaries.columns if c != "conv")))).alias("blocks"))
+def join_counts(blocks: list[dict]) -> dict:
+    """Counts of a conversation from those of its blocks in order."""
+    out = {c: sum(b[c] for b in blocks) for c in _COUNTS}
+    filled = [b for b in blocks if b["filled"]]
+    out["illegal"] += sum((x["last"], y["first"]) not in LEGAL for x, y in zip(filled, filled[1:], strict=False))
+    timed = [b for b in blocks if b["turns"]]
+    out["turns"] = sum(b["turns"] for b in timed) - sum(
+        x["greatest"] == y["least"] for x, y in zip(timed, timed[1:], strict=False))
+    return out | {"least": min((b["least"] for b in timed), default=None),
+                  "greatest": max((b["greatest"] for b in timed), default=None)}
+
+
+def _join(blocks: DataFrame) -> DataFrame:
+    """One row per conversation that lies in several blocks (or may): counts, cost, audit and the pieces of its blocks."""
+    listed = blocks.groupBy("conv").agg(F.array_sort(F.collect_list(F.struct(
+        "seg", "width", "filled", "first", "last", *_COUNTS, "least", "greatest", "turns", "weights"))).alias("blocks"))
     piece = pa.struct([("seg", _LONG), ("state", pa.int32()), ("letters", pa.string())])
-    fields = pa.schema([*((c, _LONG) for c in ("blank", "duplicate", "truncated", "illegal", "cost")), ("audit", pa.string()),
+    fields = pa.schema([*((c, _LONG) for c in (*_COUNTS, "least", "greatest", "turns", "cost")), ("audit", pa.string()),
                         ("pieces", pa.list_(piece))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             told = []
-            for blocks in batch.column(1).to_pylist():
-                cost, audit, pieces = join_blocks(blocks)
-                row = {c: sum(b[c] for b in blocks) for c in ("blank", "duplicate", "truncated", "illegal")}
-                row["illegal"] += sum((x["last"], y["first"]) not in LEGAL for x, y in zip(blocks, blocks[1:], strict=False))
-                told.append(row | {"cost": cost, "audit": audit, "pieces": [
+            for found in batch.column(1).to_pylist():
+                cost, audit, pieces = join_blocks(found)
+                told.append(join_counts(found) | {"cost": cost, "audit": audit, "pieces": [
                     {"seg": s, "state": p, "letters": x} for s, p, x in pieces]})
             for table in pa.Table.from_pylist(told, schema=fields).to_batches():
                 yield pa.RecordBatch.from_arrays([batch.column(0), *table.columns], names=["conv", *table.schema.names])
 
-    schema = T.StructType([summaries.schema["conv"], *T._parse_datatype_string(
-        "blank long, duplicate long, truncated long, illegal long, cost long, audit string, "
-        "pieces array<struct<seg:long,state:int,letters:string>>").fields])
+    schema = T.StructType([blocks.schema["conv"], *T._parse_datatype_string(
+        "blank long, duplicate long, truncated long, illegal long, least long, greatest long, turns long, cost long, "
+        "audit string, pieces array<struct<seg:long,state:int,letters:string>>").fields])
     return listed.mapInArrow(run, schema)
 
 
 class Repair(NamedTuple):
-    """``report``: conv_id, gaps, blank, duplicate, truncated, illegal, cost, audit, one row per
-    conversation that has rows.  ``turns``: the repaired turns (conv_id, seg, place, role, text) in the order of
-    seg, then place."""
+    """``report``: conv_id, gaps, blank, duplicate, truncated, illegal, cost, audit, a row per conversation.
+
+    ``turns``: the repaired turns (conv_id, seg, whole, turns: array of role and text), a row per block; the blocks of
+    a conversation in the order of ``seg``.  ``whole``: the block is all of its conversation.
+    """
 
     report: DataFrame
     turns: DataFrame
 
 
-def repair(rows: DataFrame) -> Repair:
+def repair(rows: DataFrame, present: Column | None = None) -> Repair:
     """Repair the conversations of ``rows`` (conv_id, turn, role, text); see the module's text for the rules.
 
+    Rows for which ``present`` is not true only name their conversation, which then has a result without them.
     ``gaps``: greatest turn - least turn + 1 - different turns, nulls aside; 0 without a turn.
     ``blank``, ``duplicate``, ``truncated``: rows by their first fault.  ``illegal``: adjacent rows whose
     role initials are not su, ua or au.
     """
-    seen = rows.select(F.col("conv_id").alias("conv"), F.col("turn").cast("long").alias("turn")).groupBy("conv").agg(
-        (F.max("turn") - F.min("turn") + 1 - F.countDistinct("turn")).alias("gaps"))
-    blocks = cut(_blocks(_faults(rows)), "turns-blocks")
-    joined = cut(_join(_summaries(blocks)), "turns-joined")
-    gaps = seen.select(F.col("conv").alias("_conv"), F.coalesce("gaps", F.lit(0)).cast("long").alias("gaps"))
-    report = joined.join(gaps.hint("merge"), F.col("conv").eqNullSafe(F.col("_conv"))).select(
-        F.col("conv").alias("conv_id"), "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit")
+    here = F.lit(True) if present is None else F.coalesce(present, F.lit(False))
+    blocks = cut(_blocks(_counted(rows, here)), "turns-blocks")
+    joined = cut(_join(blocks.where("not whole")), "turns-joined")
+    columns = ("conv", *_COUNTS, "least", "greatest", "turns", "cost", "audit")
+    gaps = F.coalesce(F.col("greatest") - F.col("least") + 1 - F.col("turns"), F.lit(0)).cast("long")
+    report = blocks.where("whole").select(*columns).unionByName(joined.select(*columns)).select(
+        F.col("conv").alias("conv_id"), gaps.alias("gaps"), *_COUNTS, "cost", "audit")
+    solved = blocks.where("whole").select("conv", "seg", "whole", "rows", F.lit(START).alias("state"), F.col("audit").alias("letters"))
     pieces = joined.select(F.inline("pieces"))
+    parts = blocks.where("not whole").select("conv", "seg", "whole", "rows").join(pieces, "seg").select(solved.columns)
     turn_type = pa.struct([("role", pa.string()), ("text", pa.string())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -376,48 +377,41 @@ def repair(rows: DataFrame) -> Repair:
             at = {n: batch.column(k) for k, n in enumerate(batch.schema.names)}
             told = [[{"role": r, "text": t} for r, t in replay(letters or "", _typed(found), state)]
                     for found, state, letters in zip(*(at[c].to_pylist() for c in ("rows", "state", "letters")), strict=True)]
-            yield pa.RecordBatch.from_arrays([at["conv"], at["seg"], pa.array(told, pa.list_(turn_type))],
-                                             names=["conv", "seg", "turns"])
+            yield pa.RecordBatch.from_arrays([at["conv"], at["seg"], at["whole"], pa.array(told, pa.list_(turn_type))],
+                                             names=["conv_id", "seg", "whole", "turns"])
 
-    schema = T.StructType([blocks.schema["conv"], *T._parse_datatype_string(
-        "seg long, turns array<struct<role:string,text:string>>").fields])
-    left = blocks.select("conv", "seg", "rows").join(pieces.hint("merge"), "seg").select("conv", "seg", "rows", "state", "letters")
-    turns = left.mapInArrow(run, schema).select(
-        F.col("conv").alias("conv_id"), "seg", F.posexplode("turns").alias("place", "turn")).select(
-        "conv_id", "seg", "place", "turn.role", "turn.text")
-    return Repair(report, turns)
+    schema = T.StructType([T.StructField("conv_id", blocks.schema["conv"].dataType), *T._parse_datatype_string(
+        "seg long, whole boolean, turns array<struct<role:string,text:string>>").fields])
+    return Repair(report, solved.unionByName(parts).mapInArrow(run, schema))
 
 
-def digests(turns: DataFrame, output: str = "repaired_sha256") -> DataFrame:
-    """(conv_id, SHA-256 of ``role:text`` of its turns, newline-joined).
+def digests(turns: DataFrame) -> DataFrame:
+    """(conv_id, repaired_sha256): SHA-256 of ``role:text`` of a conversation's turns, newline-joined.
 
-    A hash runs over one conversation from its first to its last byte: the turns stream through a
-    task in order, none is held.
+    A hash runs over a conversation from its first to its last byte: the blocks of one that has several
+    stream through a task in order, and none is held.
     """
     kind = turns.schema["conv_id"].dataType
+    lines = F.transform("turns", lambda t: F.concat_ws(":", t["role"], t["text"]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, found, state, conv, conv_type = [], [], None, None, None
+        schema, state, conv, empty = None, None, None, True
         for batch in batches:
-            conv_type = batch.schema.field(0).type
-            for new, line in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                if state is None or new != conv:
-                    if state is not None:
-                        ids.append(conv)
-                        found.append(state.hexdigest())
-                    conv, state = new, hashlib.sha256()
-                else:
-                    state.update(b"\n")
-                state.update(line.encode())
-            if len(ids) >= 10_000:
-                yield pa.RecordBatch.from_arrays([pa.array(ids, conv_type), pa.array(found)], names=["conv_id", output])
-                ids, found = [], []
+            schema = schema or pa.schema([("conv_id", batch.schema.field(0).type), ("repaired_sha256", pa.string())])
+            for new, found in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                if state is not None and new != conv:
+                    yield from pa.Table.from_pylist([{"conv_id": conv, "repaired_sha256": state.hexdigest()}], schema).to_batches()
+                    state = None
+                if state is None:
+                    conv, state, empty = new, hashlib.sha256(), True
+                for line in found.as_py():
+                    state.update((b"" if empty else b"\n") + line.encode())
+                    empty = False
         if state is not None:
-            ids.append(conv)
-            found.append(state.hexdigest())
-            yield pa.RecordBatch.from_arrays([pa.array(ids, conv_type), pa.array(found)], names=["conv_id", output])
-
-    schema = T.StructType([T.StructField("conv_id", kind), T.StructField(output, T.StringType())])
-    lines = turns.select("conv_id", "seg", "place", F.concat_ws(":", "role", "text").alias("line"))
-    return (lines.repartition("conv_id").sortWithinPartitions("conv_id", "seg", "place")
-            .select("conv_id", "line").mapInArrow(run, schema))
+            yield from pa.Table.from_pylist([{"conv_id": conv, "repaired_sha256": state.hexdigest()}], schema).to_batches()
+
+    at_once = turns.where("whole").select("conv_id", sha256_hex(F.array_join(lines, "\n")).alias("repaired_sha256"))
+    streamed = (turns.where("not whole").select("conv_id", "seg", lines.alias("lines")).repartition("conv_id")
+                .sortWithinPartitions("conv_id", "seg").select("conv_id", "lines"))
+    schema = T.StructType([T.StructField("conv_id", kind), T.StructField("repaired_sha256", T.StringType())])
+    return at_once.unionByName(streamed.mapInArrow(run, schema))

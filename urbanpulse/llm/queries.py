@@ -106,7 +106,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _damaged(rows: DataFrame) -> DataFrame:
-    """Conversation rows with the damage that their contract states; nulls are one space."""
+    """Conversation rows with the damage that their contract states, nulls as one space; ``here`` is false for a dropped row."""
     def told(name: str):
         return F.coalesce(F.col(name).cast("string"), F.lit(" "))
 
@@ -114,24 +114,16 @@ def _damaged(rows: DataFrame) -> DataFrame:
     text = (F.when(kind == 1, F.lit("")).when(kind == 2, F.regexp_replace(told("text"), "[.!?]", ""))
             .otherwise(told("text")))
     role = F.when(kind == 4, F.lit("user")).otherwise(told("role"))
-    copies = F.when(kind == 0, F.lit(0)).when(kind == 3, F.lit(2)).otherwise(F.lit(1))
-    return rows.select("conv_id", "turn", role.alias("role"), text.alias("text"), F.array_repeat(F.lit(0), copies).alias("_n")
-                       ).select("conv_id", "turn", "role", "text", F.explode("_n").alias("_n")).drop("_n")
+    copies = F.array_repeat(kind != 0, F.when(kind == 3, F.lit(2)).otherwise(F.lit(1)))
+    return rows.select("conv_id", "turn", role.alias("role"), text.alias("text"), F.explode(copies).alias("here"))
 
 
 def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cheapest repair of every conversation after the damage of the contract."""
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    repaired = conversations.repair(_damaged(rows))
-    found = repaired.report.join(
-        conversations.digests(repaired.turns).select(F.col("conv_id").alias("_d"), "repaired_sha256").hint("merge"),
-        F.col("conv_id").eqNullSafe(F.col("_d")), "left").drop("_d").withColumnRenamed("conv_id", "_id")
-    every = rows.select("conv_id").distinct()
-    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
-    return every.join(found.hint("merge"), F.col("conv_id").eqNullSafe(F.col("_id")), "left").select(
-        "conv_id", *(F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in counts),
-        F.coalesce("audit", F.lit("")).alias("audit"),
-        F.coalesce("repaired_sha256", sha256_hex(F.lit(""))).alias("repaired_sha256"))
+    repaired = conversations.repair(_damaged(rows), F.col("here"))
+    hashes = conversations.digests(repaired.turns).withColumnRenamed("conv_id", "_id")
+    return repaired.report.join(hashes, F.col("conv_id").eqNullSafe(F.col("_id"))).drop("_id")
 
 
 def op12_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
