@@ -7,7 +7,7 @@ carries one row per group per task, whatever the skew of the raw rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from urbanpulse.functions.columns import count_if, pct, round_half_up
@@ -18,20 +18,33 @@ A2_KEYS = ["event_date", "event_hour", "city_zone", "road_id", "road_classificat
            "is_peak_hour", "is_weekend"]
 
 
+def with_limits(fact: DataFrame, dim_road: DataFrame) -> DataFrame:
+    """Fact rows with the speed limit of their road (J1); without a known road it is NULL."""
+    return fact.join(dim_road.select("road_id", "speed_limit_kmh"), "road_id", "left")
+
+
+def hour_measures() -> list[Column]:
+    """The aggregates of the hourly rollup over ``with_limits`` rows, for batch and stream alike."""
+    speed, level = F.col("speed_kmh"), F.col("congestion_level")
+    return [F.count("vehicle_id").alias("total_vehicle_flow"),
+            F.avg(speed).alias("avg_speed_kmh"), F.min(speed).alias("min_speed_kmh"), F.max(speed).alias("max_speed_kmh"),
+            F.avg(level).alias("avg_congestion_level"), count_if(level >= 4).alias("high_congestion_event_count"),
+            count_if(speed > F.col("speed_limit_kmh")).alias("speed_violation_count")]
+
+
+def hour_columns(*keys: str | Column) -> list[str | Column]:
+    """Keys and rounded columns of the hourly rollup over ``hour_measures``."""
+    return [*keys, "total_vehicle_flow", round_half_up("avg_speed_kmh", 2).alias("avg_speed_kmh"),
+            "min_speed_kmh", "max_speed_kmh", round_half_up("avg_congestion_level", 2).alias("avg_congestion_level"),
+            "high_congestion_event_count", "speed_violation_count",
+            round_half_up(pct("high_congestion_event_count", "total_vehicle_flow"), 1).alias("high_congestion_pct")]
+
+
 def agg_hourly_congestion(fact: DataFrame, dim_road: DataFrame,
                           with_computed_at: bool = False) -> DataFrame:
     """Hourly congestion rollup by zone, road, date, hour."""
-    joined = fact.join(dim_road.select("road_id", "speed_limit_kmh"), "road_id", "left")
-    out = (joined.groupBy(*A1_KEYS)
-           .agg(F.count("vehicle_id").alias("total_vehicle_flow"),
-                round_half_up(F.avg("speed_kmh"), 2).alias("avg_speed_kmh"),
-                F.min("speed_kmh").alias("min_speed_kmh"),
-                F.max("speed_kmh").alias("max_speed_kmh"),
-                round_half_up(F.avg("congestion_level"), 2).alias("avg_congestion_level"),
-                count_if(F.col("congestion_level") >= 4).alias("high_congestion_event_count"),
-                count_if(F.col("speed_kmh") > F.col("speed_limit_kmh")).alias("speed_violation_count"))
-           .withColumn("high_congestion_pct",
-                       round_half_up(pct("high_congestion_event_count", "total_vehicle_flow"), 1)))
+    grouped = with_limits(fact, dim_road).groupBy(*A1_KEYS).agg(*hour_measures())
+    out = grouped.select(*hour_columns(*A1_KEYS))
     return out.withColumn("computed_at", F.current_timestamp()) if with_computed_at else out
 
 

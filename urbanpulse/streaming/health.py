@@ -23,6 +23,7 @@ class StreamHealth(StreamingQueryListener):
     def __init__(self):
         self._lock = threading.Lock()
         self.totals: dict[str, list] = {}
+        self.observed: dict[str, dict[str, int]] = {}
         self.running: set[str] = set()
 
     def onQueryStarted(self, event):  # noqa: N802 (Spark listener API)
@@ -44,6 +45,11 @@ class StreamHealth(StreamingQueryListener):
             t[3] += int(dropped)
             t[4] += int(dups)
             t[5] = max(t[5], p.timestamp)
+            # counts that ``operators.observed.observe_stream`` took along
+            for name, row in (p.observedMetrics or {}).items():
+                sums = self.observed.setdefault(name, {})
+                for metric, n in row.asDict().items():
+                    sums[metric] = sums.get(metric, 0) + int(n or 0)
 
     def onQueryIdle(self, event):  # noqa: N802
         pass

@@ -23,8 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from urbanpulse import schemas as S
-from urbanpulse.functions.columns import count_if, pct, round_half_up
-from urbanpulse.operators import gold, quality, silver
+from urbanpulse.operators import gold, quality, rollups, silver
 from urbanpulse.sources import bronze as B
 
 
@@ -198,26 +197,11 @@ def hourly_rollup_stream(fact_stream: DataFrame, dim_road: DataFrame,
     ``delay`` None keeps the watermark that the input has.
     """
     marked = fact_stream.withWatermark("event_ts", delay) if delay else fact_stream
-    joined = marked.join(dim_road.select("road_id", "speed_limit_kmh"), "road_id", "left")
-    agg = (joined.groupBy(F.window("event_ts", "1 hour").alias("w"), "city_zone", "road_id")
-           .agg(F.count("vehicle_id").alias("total_vehicle_flow"),
-                F.avg("speed_kmh").alias("_avg_speed"),
-                F.min("speed_kmh").alias("min_speed_kmh"),
-                F.max("speed_kmh").alias("max_speed_kmh"),
-                F.avg("congestion_level").alias("_avg_level"),
-                count_if(F.col("congestion_level") >= 4).alias("high_congestion_event_count"),
-                count_if(F.col("speed_kmh") > F.col("speed_limit_kmh")).alias("speed_violation_count")))
-    return agg.select(
-        "city_zone", "road_id",
-        F.to_date(F.col("w.start")).alias("event_date"), F.hour(F.col("w.start")).alias("event_hour"),
-        "total_vehicle_flow",
-        round_half_up("_avg_speed", 2).alias("avg_speed_kmh"),
-        "min_speed_kmh", "max_speed_kmh",
-        round_half_up("_avg_level", 2).alias("avg_congestion_level"),
-        "high_congestion_event_count", "speed_violation_count",
-        round_half_up(pct("high_congestion_event_count", "total_vehicle_flow"), 1).alias("high_congestion_pct"),
-        F.current_timestamp().alias("computed_at"),
-    )
+    hours = (rollups.with_limits(marked, dim_road).groupBy(F.window("event_ts", "1 hour").alias("w"), "city_zone", "road_id")
+             .agg(*rollups.hour_measures()))
+    return hours.select(*rollups.hour_columns(
+        "city_zone", "road_id", F.to_date(F.col("w.start")).alias("event_date"), F.hour(F.col("w.start")).alias("event_hour")),
+        F.current_timestamp().alias("computed_at"))
 
 
 def start_hourly_rollup(fact_stream: DataFrame, dim_road: DataFrame, root: str,
