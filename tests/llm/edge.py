@@ -49,6 +49,8 @@ def documents() -> list[tuple]:
         (22, long[:30_000] + words(rng, 30) + long[30_000:], "src0"),
         (23, passage.replace("alpha", "omega") + "\r\n" + passage, "src0"),
         (-5, passage + "\n" + passage, "src0"),
+        # the end of the repeated run has few words: a window from there on would leave the run
+        (24, base + " first\nshort end\n\nown " + words(rng, 70), "src0"), (25, base + " first\nshort end\n\nnew " + words(rng, 80), "src1"),
     ]
     return rows + [(100 + i, words(rng, rng.randint(1, 80)), f"src{rng.randint(0, 25)}") for i in range(30)]
 
@@ -348,24 +350,26 @@ def strip(line: str) -> str:
     return line.strip(" \t\n\r\x0b\x0c")
 
 
-def line_texts(rows, min_words: int = 50):
-    """(lines, removed, runs, kept text) per (id, text) by brute force."""
+def line_texts(rows, min_words: int = 50, forward_only: bool = False):
+    """(lines, removed, runs, kept text) per (id, text) by brute force: every line of every run of ``min_words`` words that
+    also starts earlier goes.  ``forward_only``: of the runs from a line on only the shortest counts."""
     seen, out = set(), {}
     for d, t in in_order(rows):
         ls = t.split("\n")
         n = [len(x.encode().split()) for x in ls]
         gone = [False] * len(ls)
         for i in range(len(ls)):
-            total, j = 0, i
-            while j < len(ls) and total + n[j] < min_words:
+            total = 0
+            for j in range(i, len(ls)):
                 total += n[j]
-                j += 1
-            if j == len(ls):
-                continue
-            key = tuple(strip(x) for x in ls[i:j + 1])
-            if key in seen:
-                gone[i:j + 1] = [True] * (j + 1 - i)
-            seen.add(key)
+                if total < min_words:
+                    continue
+                key = tuple(strip(x) for x in ls[i:j + 1])
+                if key in seen:
+                    gone[i:j + 1] = [True] * (j + 1 - i)
+                seen.add(key)
+                if forward_only:
+                    break
         runs = sum(1 for i, g in enumerate(gone) if g and (i == 0 or not gone[i - 1]))
         out[d, t] = (len(ls), sum(gone), runs, "\n".join(x for x, g in zip(ls, gone) if not g))
     return out

@@ -1,5 +1,6 @@
 """Every registered query over a table with all awkward cases, against plain Python."""
 
+import glob
 import random
 
 import duckdb
@@ -8,7 +9,7 @@ import pytest
 from edge import edge_dir, empty_dir  # noqa: F401  (fixtures)
 from pyspark.sql import functions as F
 
-from urbanpulse.llm import (decontaminate, digest, licenses, lines, mixing, quality, secret_field, simhash, suffixes,
+from urbanpulse.llm import (common, decontaminate, digest, licenses, lines, mixing, quality, secret_field, simhash, suffixes,
                             tokens)
 from urbanpulse.llm.queries import QUERIES, SQL
 
@@ -115,7 +116,7 @@ def test_mixing_edge(spark):
     weights = {"src0": 0.6, "src1": 0.1, "*": 0.3}
     plan = mixing.schedule(docs, weights, block_chars=200)
     got = plan.collect()
-    assert len(got) == len({(d, t or "") for d, t, _ in edge.documents()})
+    assert len(got) == len(edge.documents())
     for r in got:
         assert r["release"] <= r["slot"] < r["deadline"]
     for s in {r["mix_source"] for r in got}:
@@ -128,6 +129,22 @@ def test_mixing_edge(spark):
     assert {r[0] for r in mixed.where("source is null").select("mix_source").collect()} == {"*"}
 
 
+@pytest.mark.parametrize("copies", [3, 500])
+def test_every_equal_row_has_its_place(spark, scratch_dir, monkeypatch, copies):
+    """Rows equal in id, text and source, null ids and one id with many texts: as the SQL has them."""
+    monkeypatch.setattr(mixing, "COPIES_AT_ONCE", 7)
+    text = "x" * 300
+    docs = [(1, text, "src0")] * copies + [(2, "y" * 70_000, "src0"), (3, text, "src1"), (3, text, "src1")] + [
+        (None, f"{k} none", "src2") for k in range(20)] + [(4, f"{k} many", "src2") for k in range(20)] + [(5, None, None), (5, "", None)]
+    edge.frame(spark, docs).write.parquet(f"{scratch_dir}/documents.parquet")
+    got = QUERIES["op2_mixing"](spark, scratch_dir)
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{scratch_dir}/documents.parquet/*.parquet'")
+    want = con.sql(f"""select {', '.join(f'"{c}"' for c in got.columns)} from ({SQL["op2_mixing"]})""").fetchall()
+    assert rows(got) == sorted(want, key=str) and len(want) == len(docs)
+    assert mixing.mix(edge.frame(spark, docs)).count() == len(docs)
+
+
 def test_mix_keeps_rows_of_two_sources(spark):
     """Rows equal in id and text under two sources of the weights each stay once, with their own."""
     docs = edge.frame(spark, [(1, "same text", "src0"), (1, "same text", "src1"), (2, "own", "src0"),
@@ -238,6 +255,28 @@ def test_lines_edge(spark, edge_dir):
                    for a, b, c, k in [want[d, t or ""]]), key=str)
     assert rows(QUERIES["op6_lines"](spark, edge_dir)) == want
     assert any(x[2] for x in want)
+    assert next(x[2] for x in want if x[0] == 25) == 3  # the run's short and empty lines, too
+
+
+def grown(spark, folder, monkeypatch, docs, copies, operator):
+    """Rows of the intermediate tables that an operator writes for so many copies of each of ``docs``."""
+    monkeypatch.setattr(common, "shared_folder", lambda _: folder)
+    found = operator(edge.frame(spark, [d for d in docs for _ in range(copies)])).collect()
+    assert len(found) == copies * len(docs)
+    counts = {}
+    for path in glob.glob(f"{folder}/*"):
+        name = path.rsplit("/", 1)[1].rsplit("-", 1)[0]
+        counts[name] = counts.get(name, 0) + (spark.read.parquet(path).count() if glob.glob(f"{path}/part-*") else 0)
+    return counts
+
+
+@pytest.mark.parametrize("operator", [lambda df: lines.dedup_lines(df), lambda df: suffixes.remove_repeats(df, length=40)])
+def test_equal_rows_are_ranked_once(spark, scratch_dir, monkeypatch, operator):
+    """Copies of one (id, text) add nothing to the tables in between."""
+    text = "\n".join(edge.words(random.Random(k), 12) for k in range(12))
+    docs = [(1, text, "s"), (2, text + "\nend", "s"), (3, edge.words(random.Random(77), 60), "s")]
+    few, many = (grown(spark, f"{scratch_dir}/{n}", monkeypatch, docs, n, operator) for n in (2, 40))
+    assert few == many and few["one-of-each"] == 3
 
 
 @pytest.mark.parametrize("min_words", [1, 3, 7, 20])
@@ -250,29 +289,12 @@ def test_lines_random(spark, min_words):
         at = rng.randint(0, 25)
         docs.append((i % 37, "\n".join([*(rng.choice(pool) for _ in range(rng.randint(0, 6))),
                                        *block[at:at + rng.randint(0, 20)]]), "s"))
-    found = lines.dedup_lines(edge.frame(spark, docs), min_words=min_words)
+    found = lines.dedup_lines(edge.frame(spark, docs), min_words=min_words, whole_runs=False)
     got = rows(found.select("doc_id", "n_lines", lines.n_removed(), F.size("removed"), "text"))
-    want = edge.line_texts(docs, min_words)
+    want = edge.line_texts(docs, min_words, forward_only=True)
     assert got == sorted(((d, *want[d, t]) for d, t, _ in docs), key=str)
 
 
-def repeated_runs(docs, min_words):
-    """(id, lines kept) where every line of every run that also starts earlier goes, over all runs."""
-    seen, out = set(), []
-    for d, t in edge.in_order(docs):
-        ls = t.split("\n")
-        gone = set()
-        for i in range(len(ls)):
-            for j in range(i, len(ls)):
-                key = tuple(edge.strip(x) for x in ls[i:j + 1])
-                if sum(len(x.split()) for x in key) >= min_words:
-                    if key in seen:
-                        gone |= set(range(i, j + 1))
-                    seen.add(key)
-        out.append((d, len(gone), "\n".join(x for k, x in enumerate(ls) if k not in gone)))
-    return out
-
-
 @pytest.mark.parametrize("min_words", [1, 3, 7, 20])
 def test_lines_whole_runs_random(spark, min_words):
     rng = random.Random(min_words + 50)
@@ -284,10 +306,11 @@ def test_lines_whole_runs_random(spark, min_words):
         docs.append((i, "\n".join([*(rng.choice(pool) for _ in range(rng.randint(0, 6))),
                                   *block[at:at + rng.randint(0, 20)]]), "s"))
     found = lines.dedup_lines(edge.frame(spark, docs), min_words=min_words, whole_runs=True)
-    want = sorted(repeated_runs(docs, min_words), key=str)
-    assert rows(found.select("doc_id", lines.n_removed(), "text")) == want
-    forward = edge.line_texts(docs, min_words)
-    assert min_words == 1 or sum(x[1] for x in want) > sum(x[1] for x in forward.values())
+    want = edge.line_texts(docs, min_words)
+    got = rows(found.select("doc_id", "n_lines", lines.n_removed(), F.size("removed"), "text"))
+    assert got == sorted(((d, *want[d, t]) for d, t, _ in docs), key=str)
+    forward = edge.line_texts(docs, min_words, forward_only=True)
+    assert min_words == 1 or sum(x[1] for x in want.values()) > sum(x[1] for x in forward.values())
 
 
 @pytest.mark.parametrize("end", ["\n" + "short line of ten words " * 2, "\n", "\n\n \n", "\na\n\nb"])

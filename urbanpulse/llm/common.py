@@ -102,10 +102,20 @@ def text_hash(text_col: str = "text") -> Column:
     return F.xxhash64(whole_text(text_col))
 
 
-def twin_hash(docs: DataFrame, id_col: str, text_col: str = "text") -> Column:
-    """``text_hash`` where some id occurs more than once, else 0 (nothing to tell apart)."""
-    repeated = docs.groupBy(F.col(id_col)).count().where("count > 1")
-    return F.lit(0).cast("long") if repeated.isEmpty() else text_hash(text_col)
+def ids_repeat(docs: DataFrame, id_col: str) -> bool:
+    """Whether some id occurs more than once."""
+    return not docs.groupBy(F.col(id_col)).count().where("count > 1").isEmpty()
+
+
+def one_of_each(docs: DataFrame, id_col: str, text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """``docs`` with ``_th``, and the rows (doc_id, th, text) to work on: one of those equal in id and text.
+
+    ``_th`` is the text hash where some id occurs more than once, else 0 (nothing to tell apart).
+    """
+    repeated = ids_repeat(docs, id_col)
+    keyed = docs.withColumn("_th", text_hash(text_col) if repeated else F.lit(0).cast("long"))
+    rows = keyed.select(F.col(id_col).alias("doc_id"), F.col("_th").alias("th"), whole_text(text_col).alias("text"))
+    return keyed, cut(rows.dropDuplicates(["doc_id", "th"]), "one-of-each") if repeated else rows
 
 
 def sha256_hex(col: Column) -> Column:

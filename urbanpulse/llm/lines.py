@@ -8,10 +8,10 @@ window that also starts earlier: in a smaller document (id, then text hash), or
 further up in the same one.
 
 A repeated run of ``min_words`` words or more is the union of its forward and
-backward windows: ``whole_runs`` judges both and deletes the whole maximal repeated
-runs (the longest-common-prefix intervals); the first copy stays.  Forward windows
-alone, as ``op6_lines`` and its SQL define the result, miss the lines at the end of a
-run that have fewer words than ``min_words`` from their start to the end of the run.
+backward windows: ``whole_runs`` (the default) judges both and deletes the whole maximal
+repeated runs (the longest-common-prefix intervals); the first copy stays.  Forward windows
+alone miss the lines at the end of a run that have fewer words than ``min_words`` from
+their start to the end of the run.
 
 Doubling: the class of a suffix by its first 2^k lines is named by the first
 position of the class.  Spark groups the pairs (name at i, name at i + 2^k), gives
@@ -22,7 +22,7 @@ window is left.  A common line's rows never meet in one task: names are partial
 aggregates, and joins with them are joins with stored tables that Spark can split.
 
 Nulls and empty texts: one empty line, never deleted.  Rows equal in id and text
-count as one document.  Ties of an id are ordered by text hash.  An empty table
+count as one document, whose lines are ranked once, and all get its result.  Ties of an id are ordered by text hash.  An empty table
 gives an empty result.  Extra columns are left alone.
 """
 
@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import cut, seal, texts, twin_hash, whole_text
+from .common import cut, one_of_each, seal, texts
 
 MIN_WORDS = 50
 
@@ -137,15 +137,14 @@ def repeated_windows(rows: DataFrame, min_words: int = MIN_WORDS, whole_runs: bo
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                min_words: int = MIN_WORDS, whole_runs: bool = False) -> DataFrame:
+                min_words: int = MIN_WORDS, whole_runs: bool = True) -> DataFrame:
     """``docs`` with repeated runs of lines deleted from the text, ``n_lines`` and ``removed``.
 
     ``removed`` lists the deleted runs (first line, line after the last).  Columns with
     these names are replaced.  ``whole_runs``: to the last line of every repeated run.
     """
     docs, (id_col, text_col), unseal = seal(docs, id_col, text_col)
-    keyed = docs.withColumn("_th", twin_hash(docs, id_col, text_col))
-    rows = keyed.select(F.col(id_col).alias("doc_id"), F.col("_th").alias("th"), whole_text(text_col).alias("text"))
+    keyed, rows = one_of_each(docs, id_col, text_col)
     deleted = repeated_windows(rows, min_words, whole_runs).groupBy("doc_id", "th").agg(F.collect_set(
         F.shiftleft(F.col("line").cast("long"), 32).bitwiseOR(F.col("window").cast("long"))).alias("_runs"))
     deleted = cut(deleted, "lines-deleted").withColumnRenamed("doc_id", "_id")

@@ -17,12 +17,12 @@ Row numbers and running sizes per source are taken in two levels: within
 (source, hash bucket), and over the sums of the buckets.  The number of buckets
 follows the number of rows, so a hot source is split like any other.
 
-No row is dropped.  ``in_mix`` is true up to the first slot that a source cannot
+No row is dropped: equal rows are planned once, with their number, and numbered at the end.  ``in_mix`` is true up to the first slot that a source cannot
 fill; behind it the remaining sources go on in the proportions of their weights.
 
 Sources without a weight of their own, and null sources, share the weight of
 ``OTHER``.  Nulls and empty texts have no characters.  Rows equal in id, text and
-source of the weights keep together.  Ties of the hash are ordered by id and text hash.  An empty table
+source of the weights follow one another.  Ties of the order (a hash of id and text) are ordered by id and text hash.  An empty table
 gives an empty result.  Extra columns are left alone.
 """
 
@@ -39,6 +39,7 @@ OTHER = "*"
 SLOTS = 100
 BLOCK_CHARS = 65_536
 ROWS_PER_BUCKET = 2_500
+COPIES_AT_ONCE = 4_096
 #: Target weights of the production mix.
 WEIGHTS = {"src0": 0.20, **{f"src{k}": 0.05 for k in range(1, 10)},
            **{f"src{k}": 0.03 for k in range(10, 20)}, OTHER: 0.05}
@@ -82,20 +83,23 @@ def _mix_source(share: dict[str, int], source_col: str) -> Column:
 
 def schedule(docs: DataFrame, weights: dict[str, float] | None = None, id_col: str = "doc_id",
              text_col: str = "text", source_col: str = "source", slots: int = SLOTS,
-             block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """One row per (id, text, source of the weights): doc_id, text_hash, mix_source, block, release, deadline, slot, offset, in_mix.
+             block_chars: int = BLOCK_CHARS, every_row: bool = True) -> DataFrame:
+    """One row per row of ``docs``: doc_id, text_hash, mix_source, block, release, deadline, slot, offset, in_mix.
 
     ``offset`` is the number of characters of the source before the document; (slot,
-    offset, doc_id) is the order of the mix.
+    offset, doc_id) is the order of the mix.  Rows equal in id, text and source of the weights follow
+    one another; without ``every_row`` they have one row, that of the first.
     """
     spark = docs.sparkSession
     share = shares(weights or WEIGHTS, slots)
-    digest = F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary"))
+    # by id and text: neither rows without an id nor an id with many texts meet in one bucket
+    digest = F.md5(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit("\n"), whole_text(text_col)).cast("binary"))
     rows = (docs.select(F.col(id_col).alias("doc_id"), text_hash(text_col).alias("text_hash"),
                         _mix_source(share, source_col).alias("mix_source"),
                         F.conv(F.substring(digest, 1, 15), 16, 10).cast("long").alias("_o"),
-                        F.length(whole_text(text_col)).cast("long").alias("_size"))
-            .groupBy("doc_id", "text_hash", "mix_source", "_o").agg(F.sum("_size").alias("_size")))
+                        F.length(whole_text(text_col)).cast("long").alias("_one"))
+            .groupBy("doc_id", "text_hash", "mix_source", "_o", "_one").agg(F.count(F.lit(1)).alias("_copies"))
+            .withColumn("_size", F.col("_one") * F.col("_copies")))
     rows = cut(rows, "mix-rows")
     bits = max(0, math.ceil(math.log2(max(1, rows.count()) / ROWS_PER_BUCKET)))
     rows = rows.withColumn("_b", F.shiftright("_o", 60 - bits))
@@ -109,6 +113,12 @@ def schedule(docs: DataFrame, weights: dict[str, float] | None = None, id_col: s
     placed = (rows.withColumn("_in", F.coalesce(F.sum("_size").over(within), F.lit(0)))
               .join(starts.drop("_sum"), ["mix_source", "_b"])
               .withColumn("offset", F.col("_start") + F.col("_in")))
+    if every_row:
+        # the copies one by one, in two steps: no task holds a list of all
+        groups = F.expr(f"explode(sequence(0L, (_copies - 1) div {COPIES_AT_ONCE}))")
+        copies = F.expr(f"explode(sequence(_group * {COPIES_AT_ONCE}, least((_group + 1) * {COPIES_AT_ONCE}, _copies) - 1))")
+        placed = (placed.withColumn("_group", groups).withColumn("_copy", copies)
+                  .withColumn("offset", F.col("offset") + F.col("_copy") * F.col("_one")))
     steps = period(share)
     table = spark.createDataFrame([(s, j, t, share[s]) for t, (s, j) in enumerate(steps)],
                                   "mix_source string, _j long, _t long, _share long")
@@ -132,7 +142,7 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, id_col: str =
         text_col: str = "text", source_col: str = "source", **settings) -> DataFrame:
     """``docs`` in the order of the mix, with mix_source, slot, mix_offset and in_mix (replaced if there)."""
     docs, (id_col, text_col, source_col), unseal = seal(docs, id_col, text_col, source_col)
-    plan = cut(schedule(docs, weights, id_col, text_col, source_col, **settings).select(
+    plan = cut(schedule(docs, weights, id_col, text_col, source_col, every_row=False, **settings).select(
         F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "mix_source", "slot",
         F.col("offset").alias("mix_offset"), "in_mix"), "mix-plan")
     own = _mix_source(shares(weights or WEIGHTS, settings.get("slots", SLOTS)), source_col)

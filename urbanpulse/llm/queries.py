@@ -58,7 +58,7 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repeated runs of lines of at least 50 words, deleted from every document but the first."""
-    found = lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), min_words=50)
+    found = lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), min_words=50, whole_runs=True)
     return found.select("doc_id", "n_lines", lines.n_removed().alias("n_removed"),
                         F.size("removed").cast("long").alias("n_runs"),
                         sha256_hex(F.coalesce("text", F.lit(""))).alias("kept_sha256"))
@@ -226,7 +226,7 @@ sim(t, n, p, j) as (
 period as (select w.s, w.a, sim.j, sim.t from sim join w on w.k = sim.p where sim.t >= 0),
 d as (
   select doc_id, text, length(coalesce(text, '')) as n,
-         cast('0x' || md5(coalesce(cast(doc_id as varchar), ''))[1:15] as bigint) as o,
+         cast('0x' || md5(coalesce(cast(doc_id as varchar), '') || chr(10) || coalesce(text, ''))[1:15] as bigint) as o,
          case when source in (select s from w where s <> '*') then source else '*' end as s
   from documents),
 c as (
@@ -306,11 +306,16 @@ w as (
   select *, case when line = '' then 0 else len(string_split_regex(line, '[ \t\v\f\r]+')) end as n from l),
 c as (
   select *, sum(n) over (partition by doc_id order by i rows unbounded preceding) as upto from w),
--- the window of a line ends where the words from its start on reach 50
+-- the shortest runs of 50 words from each line on, and those up to each line: together they cover
+-- every line of every repeated run of 50 words
 e as (
   select a.doc_id, a.i, min(b.i) as j
   from c a join c b on a.doc_id = b.doc_id and b.i >= a.i and b.upto >= a.upto - a.n + 50
-  group by a.doc_id, a.i),
+  group by a.doc_id, a.i
+  union
+  select b.doc_id, max(a.i), b.i
+  from c a join c b on a.doc_id = b.doc_id and b.i >= a.i and b.upto >= a.upto - a.n + 50
+  group by b.doc_id, b.i),
 k as (
   select e.doc_id, e.i, e.j, string_agg(c.line, chr(10) order by c.i) as key
   from e join c on c.doc_id = e.doc_id and c.i between e.i and e.j group by e.doc_id, e.i, e.j),

@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import cut, discard, seal, twin_hash, utf8, whole_text
+from .common import cut, discard, one_of_each, seal, utf8, whole_text
 
 LENGTH = 100
 RUN = 8
@@ -293,9 +293,9 @@ def repeated_intervals(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """The keyed documents, and per document (doc_id, th) the intervals whose bytes are repeats, packed."""
     if not 2 * RUN <= length <= 1 << 15:
         raise ValueError(f"length must be {2 * RUN} to 32768")
-    keyed = docs.withColumn("_th", twin_hash(docs, id_col, text_col)).withColumn("_text", whole_text(text_col))
-    rows = keyed.select(F.col(id_col).alias("doc_id"), F.col("_th").alias("th"), F.col("_text").alias("text")) \
-        .where(F.octet_length("text") >= length)
+    keyed, rows = one_of_each(docs, id_col, text_col)
+    keyed = keyed.withColumn("_text", whole_text(text_col))
+    rows = rows.where(F.octet_length("text") >= length)
     kind = rows.schema["doc_id"].dataType.simpleString()
     key = f"doc_id {kind}, th long"
 
