@@ -5,6 +5,7 @@ from types import SimpleNamespace
 
 from pyspark.sql import functions as F
 
+import feed as feed_files
 from conftest import SF_SMALL
 from urbanpulse.operators import quality, silver
 from urbanpulse.plans.fixture import telemetry_messages
@@ -21,9 +22,9 @@ def _rows(df):
 def test_chain_equals_batch_and_conserves_rows(spark, scratch_dir):
     lh = Lakehouse(spark, SF_SMALL)
     feed = os.path.join(scratch_dir, "feed")
-    assert jobs.write_message_files(lh.messages, feed, 175) == 6
+    assert feed_files.write_files(lh.messages, feed, 175) == 6
     health = StreamHealth().attach(spark)
-    paths = jobs.run_chain(spark, jobs.message_stream(spark, feed, 2), scratch_dir,
+    paths = jobs.run_chain(spark, feed_files.stream(spark, feed, 2), scratch_dir,
                            max_files_per_trigger=2, rollup=True)
     health.detach(spark)
     assert not health.running
@@ -54,13 +55,13 @@ def test_chain_equals_batch_and_conserves_rows(spark, scratch_dir):
 def test_small_batches_drop_late_rows_and_restart(spark, scratch_dir):
     lh = Lakehouse(spark, SF_SMALL)
     feed = os.path.join(scratch_dir, "feed")
-    jobs.write_message_files(lh.messages, feed, 18)
+    feed_files.write_files(lh.messages, feed, 18)
     root = os.path.join(scratch_dir, "out")
     # First run: half the feed arrives.
     files = sorted(f for f in os.listdir(feed) if f.endswith(".parquet"))
     assert len(files) >= 30
     paths = jobs.table_paths(root)
-    jobs.start_bronze(jobs.message_stream(spark, feed, 1), root).awaitTermination()
+    jobs.start_bronze(feed_files.stream(spark, feed, 1), root).awaitTermination()
     bronze_in = B.read_table_stream(spark, paths["traffic_bronze"], jobs.bronze_schema(spark),
                                     max_files_per_trigger=1)
     for q in jobs.start_silver_routes(bronze_in, root, clock="kafka_timestamp"):
@@ -88,23 +89,6 @@ def test_insert_if_absent_is_idempotent(spark, scratch_dir):
     assert _rows(spark.read.parquet(path)) == [("A", 1), ("B", 2), ("C", 3)]
 
 
-def test_feed_files_follow_arrival(spark, scratch_dir):
-    """Modification times, the order in which a file stream reads, follow arrival time."""
-    lh = Lakehouse(spark, SF_SMALL)
-    feed = os.path.join(scratch_dir, "feed")
-    first = lh.messages.where("timestamp < timestamp'2024-01-10'")
-    n = jobs.write_message_files(first, feed, 60) + jobs.write_message_files(
-        lh.messages.where("timestamp >= timestamp'2024-01-10'"), feed, 100)
-    files = sorted((os.path.getmtime(os.path.join(feed, f)), os.path.join(feed, f))
-                   for f in os.listdir(feed) if f.endswith(".parquet"))
-    assert len(files) == n > 5
-    last = None
-    for _, f in files:
-        lo, hi = spark.read.parquet(f).agg(F.min("timestamp"), F.max("timestamp")).first()
-        assert last is None or lo >= last
-        last = hi
-
-
 def test_watermark_really_drops_rows(spark):
     from __spark_entry__ import queries
     got = queries()["watermark"](spark, SF_SMALL).first()
@@ -126,17 +110,12 @@ def test_registered_tables(spark, scratch_dir):
 
 
 def test_batches_span_arrival_time_at_any_size(spark, scratch_dir, monkeypatch):
-    """Files of half an hour: batches of two would lose the valid rows that are 90 minutes late."""
+    """A feed of two and a half days in batches of one: valid rows that are 90 minutes late are not lost."""
     events = spark.range(1, 721).selectExpr(
         "id AS event_id", "timestamp'2024-01-01' + make_interval(0, 0, 0, 0, 0, CAST(5 * id AS INT)) AS ts",
         "id % 90 AS user_id", "'view' AS event_type", "CAST(id % 100 AS DOUBLE) AS value")
     messages = telemetry_messages(events)
-    feed = os.path.join(scratch_dir, "feed")
-    n = jobs.write_message_files(messages, feed, 6)
-    assert 30 < jobs.files_spanning(spark, feed, "24 hours") < n
-    assert jobs.files_spanning(spark, feed, "1000 hours") == n
-    assert jobs.files_spanning(spark, feed, "1 second") <= 2
-    monkeypatch.setattr(reports, "ROWS_PER_FILE", 6)
+    monkeypatch.setattr(reports, "BATCH_SPAN_US", 24 * 3_600_000_000)
     paths, _ = reports._run(SimpleNamespace(spark=spark, sf_dir=scratch_dir, messages=messages))
     batch = silver.silver_clean(quality.evaluate(B.bronze(messages), clock="kafka_timestamp",
                                                  processed_at=F.col("kafka_timestamp")))

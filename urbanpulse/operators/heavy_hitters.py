@@ -44,9 +44,8 @@ def combine(summaries: DataFrame, hour: Sequence[str] = HOUR) -> DataFrame:
     """
     floors = summaries.groupBy(*hour).agg(F.max("floor").alias("floor")).agg(F.coalesce(F.sum("floor"), F.lit(0)).alias("all_floors"))
     held = summaries.groupBy("value").agg(F.sum("times").alias("times"), F.sum("floor").alias("own_floors"))
-    error = F.col("all_floors") - F.col("own_floors")
-    return held.crossJoin(F.broadcast(floors)).select(  # one row
-        "value", (F.col("times") + error).alias("estimate"), error.alias("error"))
+    error = floors.scalar() - F.col("own_floors")
+    return held.select("value", (F.col("times") + error).alias("estimate"), error.alias("error"))
 
 
 def top_k(summaries: DataFrame, k: int, hour: Sequence[str] = HOUR) -> DataFrame:

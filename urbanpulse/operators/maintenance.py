@@ -59,19 +59,31 @@ def compact(stored: DataFrame, path: str, partition_by: Sequence[str] | None = N
     _overwrite(rows.repartitionByRange(n, *sort_by, "_tie").sortWithinPartitions(*sort_by).drop("_tie"), path)
 
 
+#: Values of a column that its bounds are taken from, per bucket.
+SAMPLED_PER_BUCKET = 16
+_HASH_SPACE = 1 << 40
+
+
 def z_bucket_bounds(df: DataFrame, columns: Sequence[str], bits: int = 8) -> dict[str, list]:
     """Bounds that divide the distinct values of each Z column into at most 2**bits buckets.
 
     The values keep their own type and order (text is compared whole, in any
-    script).  Spark's range partitioner divides them; the least value of each
-    range is a bound, so the result has a fixed size whatever the table size.
+    script).  Two aggregates over all columns at once, neither of which shuffles
+    values: the number of distinct values (HyperLogLog), and those of them whose hash is low
+    enough that about ``SAMPLED_PER_BUCKET`` a bucket are kept.  That is a uniform sample of the
+    distinct values, whatever their frequencies, and all of them where there are few;
+    its quantiles are the bounds.  The result has a fixed size whatever the table size.
     """
+    buckets = 2 ** bits
+    wanted = buckets * SAMPLED_PER_BUCKET
+    many = df.agg(*(F.approx_count_distinct(c) for c in columns)).first()
+    low = [_HASH_SPACE if n <= wanted else max(1, _HASH_SPACE * wanted // n) for n in many]
+    kept = df.agg(*(F.array_sort(F.collect_set(F.when(F.pmod(F.xxhash64(c), F.lit(_HASH_SPACE)) < F.lit(limit), F.col(c))))
+                    for c, limit in zip(columns, low, strict=True))).first()
     bounds = {}
-    for c in columns:
-        ranges = (df.select(F.col(c).alias("v")).where("v is not null").distinct()
-                  .repartitionByRange(2 ** bits, "v").groupBy(F.spark_partition_id().alias("p"))
-                  .agg(F.min("v").alias("least")))
-        bounds[c] = sorted(r[0] for r in ranges.select("least").collect())
+    for c, values in zip(columns, kept, strict=True):
+        n = min(buckets, len(values))
+        bounds[c] = [values[k * len(values) // n] for k in range(n)]
     return bounds
 
 

@@ -144,10 +144,16 @@ class Lakehouse:
         write(stored.quarantine, "quarantine")
         stored = over("bronze", "silver")
         gold.write_fact(stored.fact, paths["fact_traffic"])
-        write(gold.dim_zone(stored.silver, with_updated_at=True).coalesce(1), "dim_zone")
-        write(gold.dim_road(stored.silver, with_updated_at=True).coalesce(1), "dim_road")
-        write(gold.dim_zones_mart(stored.stg, with_updated_at=True).coalesce(1), "dim_zones_mart")
-        write(gold.dim_roads_mart(stored.stg, with_updated_at=True).coalesce(1), "dim_roads_mart")
+        # one pass over silver for all dimensions: the pairs that occur, and which of them staging keeps
+        pairs = os.path.join(out_dir, "_dimension_keys")
+        (stored.silver.groupBy("city_zone", "road_id").agg(F.max(F.col("vehicle_id").isNotNull()).alias("staged"))
+         .write.mode("overwrite").parquet(pairs))
+        keys = self.spark.read.parquet(pairs)
+        staged = keys.where("staged")
+        write(gold.dim_zone(keys, with_updated_at=True).coalesce(1), "dim_zone")
+        write(gold.dim_road(keys, with_updated_at=True).coalesce(1), "dim_road")
+        write(gold.dim_zones_mart(staged, with_updated_at=True).coalesce(1), "dim_zones_mart")
+        write(gold.dim_roads_mart(staged, with_updated_at=True).coalesce(1), "dim_roads_mart")
         stored = over("bronze", "silver", "fact_traffic", "dim_zone", "dim_road", "dim_zones_mart", "dim_roads_mart")
         rollups.write_rollup(rollups.fct_hourly_traffic_kpis(stored.stg, stored.dim_roads_mart, True),
                              paths["fct_hourly_traffic_kpis"], ["event_date"])

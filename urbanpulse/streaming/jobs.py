@@ -11,9 +11,7 @@ system; nothing is written to a machine-local folder.
 
 from __future__ import annotations
 
-import math
 import os
-import time
 from collections.abc import Sequence
 from functools import partial
 
@@ -31,65 +29,6 @@ def _trigger(writer, trigger: dict | None):
     return writer.trigger(**(trigger or {"availableNow": True}))
 
 
-# ---------------------------------------------------------------------------
-# Sources
-# ---------------------------------------------------------------------------
-def _feed_files(spark: SparkSession, path: str) -> list[tuple[str, int]]:
-    """(file, modification time) of the data files in a feed folder, by name."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(folder):
-        return []
-    found = [(f.getPath().toString(), f.getModificationTime()) for f in fs.listStatus(folder)]
-    return sorted(f for f in found if os.path.basename(f[0]).startswith("part-"))
-
-
-def write_message_files(messages: DataFrame, path: str, rows_per_file: int = 1_000_000) -> int:
-    """Append a message table to a replayable file feed; returns the number of files.
-
-    One pass: rows are range partitioned by arrival time into files of about
-    ``rows_per_file``.  A file stream source reads in the order of modification times,
-    so those are set to follow arrival time, behind any files already there
-    (metadata only).
-    """
-    spark = messages.sparkSession
-    n = max(1, math.ceil(messages.count() / rows_per_file))
-    before = dict(_feed_files(spark, path))
-    (messages.repartitionByRange(n, "timestamp").sortWithinPartitions("timestamp", "offset")
-     .write.mode("append").parquet(path))
-    new = [f for f, _ in _feed_files(spark, path) if f not in before]
-    start = max([*before.values(), int(time.time() * 1000) - 3_600_000])
-    fs = spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    for k, f in enumerate(new, 1):
-        fs.setTimes(spark._jvm.org.apache.hadoop.fs.Path(f), start + 1000 * k, -1)
-    return len(new)
-
-
-def files_spanning(spark: SparkSession, path: str, span: str) -> int:
-    """The least number n such that any n files in a row, by arrival, span ``span`` or reach the end.
-
-    All files where the whole feed spans less.  Two times per file reach the driver.
-    """
-    seconds = spark.sql(f"SELECT CAST(TIMESTAMP_SECONDS(0) + INTERVAL {span} AS DOUBLE)").first()[0]
-    found = sorted((r[1], r[2]) for r in spark.read.schema(S.MESSAGE_SCHEMA).parquet(path)
-                   .groupBy(F.input_file_name())
-                   .agg(F.min("timestamp").cast("double"), F.max("timestamp").cast("double")).collect())
-    n, end = 1, 0
-    for start, (first, _) in enumerate(found):
-        while end < len(found) and found[end][1] - first < seconds:
-            end += 1
-        if end == len(found):
-            return max(n, len(found) - start)  # the rest spans less: one batch holds it
-        n = max(n, end - start + 1)
-    return n
-
-
-def message_stream(spark: SparkSession, path: str, max_files_per_trigger: int = 1) -> DataFrame:
-    """A message stream replayed from files (S5 on the message schema)."""
-    return B.read_table_stream(spark, path, S.MESSAGE_SCHEMA,
-                               max_files_per_trigger=max_files_per_trigger)
-
-
 # ---------------------------------------------------------------------------
 # Sinks
 # ---------------------------------------------------------------------------
@@ -232,17 +171,29 @@ def use_rocksdb_state(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
 
 
+def run_to_end(query: StreamingQuery) -> None:
+    """Let a query take in all that its source has now, however many admissions that takes, and stop it."""
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+
+
 def run_chain(spark: SparkSession, messages: DataFrame, root: str, clock: str = "kafka_timestamp",
               delay: str = S.DEDUP_WATERMARK, max_files_per_trigger: int = 1,
-              rollup: bool = False, rocksdb_state: bool = True) -> dict[str, str]:
+              rollup: bool = False, rocksdb_state: bool = True, limited_source: bool = False) -> dict[str, str]:
     """Bronze -> silver/quarantine -> gold, each layer an ``availableNow``
     query over the previous layer's table (T5).  Rerunning with the same
     ``root`` resumes every layer from its checkpoint: only new input is read.
+    ``limited_source``: ``messages`` admits a part per trigger (``sources.message_log``).
     """
     if rocksdb_state:
         use_rocksdb_state(spark)
     paths = table_paths(root)
-    start_bronze(messages, root).awaitTermination()
+    if limited_source:
+        run_to_end(start_bronze(messages, root, trigger={"processingTime": "0 seconds"}))
+    else:
+        start_bronze(messages, root).awaitTermination()
     bronze_in = B.read_table_stream(spark, paths["traffic_bronze"], bronze_schema(spark),
                                     max_files_per_trigger=max_files_per_trigger)
     for q in start_silver_routes(bronze_in, root, clock=clock, delay=delay):

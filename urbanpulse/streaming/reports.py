@@ -1,13 +1,12 @@
 """Registered streaming reports.
 
-Each report replays the telemetry messages derived from ``events`` as a
-file feed (files by arrival time), runs the streaming chain with
-``availableNow`` triggers into a fresh folder under the session's
-checkpoint directory, and reads a sink back as a batch DataFrame.  The
-chain runs once per (session, input folder) and is shared by the reports.
-
-In the chain a micro-batch spans ``BATCH_SPAN`` of arrival time or more, whatever the
-size of the table: it reads as many files as that takes.  A row is dropped only behind
+Each report replays the telemetry messages derived from ``events`` from a message log
+(``sources.message_log``) in the order of their arrival, runs the streaming chain into a
+fresh folder under the session's checkpoint directory, and reads a sink back as a batch
+DataFrame.  The chain runs once per (session, input folder) and is shared by the reports.
+
+The log admits ``BATCH_SPAN_US`` of arrival time per micro-batch, whatever the size of the
+table or of its files, and a batch of the later layers holds a whole one of those.  A row is dropped only behind
 the watermark of the batch before the previous one, and a valid row is no more than
 ``MAX_LATENCY`` late, so nothing is lost and every sink has a plain SQL answer: silver
 and fact equal the batch tables, the rollup equals the batch rollup on closed hours.  ``watermark`` and
@@ -28,15 +27,16 @@ from urbanpulse.plans.catalog import REPORTS as BATCH
 from urbanpulse.plans.oracle import with_base
 from urbanpulse.session import checkpoint_dir
 from urbanpulse.sources import bronze as B
+from urbanpulse.sources import message_log
 from urbanpulse.streaming import jobs
 from urbanpulse.streaming.health import StreamHealth
 
 REPORTS: dict = {}
 DATABASE = "telemetry"
-ROWS_PER_FILE = 2_000
-FILES_PER_TRIGGER = 2
-#: Wide against the largest valid lateness (``MAX_LATENCY`` and ``FUTURE_TOLERANCE``).
-BATCH_SPAN = "24 hours"
+#: Messages of a file of the second feed.
+ROWS_PER_FILE = 1_000_000
+#: Three days of arrival time: wide against the largest valid lateness (``MAX_LATENCY`` and ``FUTURE_TOLERANCE``).
+BATCH_SPAN_US = 72 * 3_600_000_000
 _RUNS: dict = {}
 _LATE: dict = {}
 
@@ -54,16 +54,17 @@ def _run(lh):
     if key in _RUNS:
         return _RUNS[key]
     root = os.path.join(checkpoint_dir(lh.spark), "streams", uuid.uuid4().hex[:12])
-    feed = os.path.join(root, "_feed")
-    jobs.write_message_files(lh.messages, feed, ROWS_PER_FILE)
-    files = max(FILES_PER_TRIGGER, jobs.files_spanning(lh.spark, feed, BATCH_SPAN))
+    log = os.path.join(root, "_log")
+    message_log.append_messages(lh.messages, log, position="timestamp")
+    feed = message_log.stream_log(lh.spark, log, startingOffsets="earliest", maxSpanPerTrigger=str(BATCH_SPAN_US),
+                                  checkpointLocation=os.path.join(root, "_checkpoints", "bronze"))
     health = StreamHealth().attach(lh.spark)
     try:
         # Bronze writes at most ``tasks`` files a batch, so twice as many hold a whole batch
         # of the feed, wherever a downstream batch starts.
-        tasks = min(files, lh.spark.sparkContext.defaultParallelism)
-        paths = jobs.run_chain(lh.spark, jobs.message_stream(lh.spark, feed, files).coalesce(tasks), root,
-                               clock="kafka_timestamp", max_files_per_trigger=2 * tasks, rollup=True)
+        tasks = lh.spark.sparkContext.defaultParallelism
+        paths = jobs.run_chain(lh.spark, feed.coalesce(tasks), root, clock="kafka_timestamp",
+                               max_files_per_trigger=2 * tasks, rollup=True, limited_source=True)
     finally:
         health.detach(lh.spark)
     _RUNS[key] = (paths, health)
@@ -89,14 +90,14 @@ def _late_run(lh):
         F.col("kafka_offset").alias("offset"),
         F.when(late, 2).when(F.col("kafka_partition") == 0, 0).otherwise(1).alias("delivery"))
     rows = messages.groupBy("delivery").count().collect()  # three numbers
-    files = max(1, -(-max(r["count"] for r in rows) // (ROWS_PER_FILE * 10)))
-    for k in range(3):
+    # a delivery is one write job of so many files, so the next one's files are newer
+    counts = [r["count"] for r in rows]
+    files = max(1, min(min(counts), -(-max(counts) // ROWS_PER_FILE)))
+    for k in sorted(r["delivery"] for r in rows):
         part = messages.where(F.col("delivery") == k).drop("delivery")
-        count = next((r["count"] for r in rows if r["delivery"] == k), 0)
-        if count:
-            jobs.write_message_files(part, feed, max(1, -(-count // files)))
+        part.repartition(files).write.mode("append").parquet(feed)
     jobs.use_rocksdb_state(lh.spark)
-    stream = B.bronze(jobs.message_stream(lh.spark, feed, files))
+    stream = B.bronze(B.read_table_stream(lh.spark, feed, S.MESSAGE_SCHEMA, max_files_per_trigger=files))
     evaluated = quality.evaluate(stream, clock="kafka_timestamp", processed_at=F.col("kafka_timestamp"))
     path = os.path.join(root, "traffic_silver")
     jobs.stream_append(silver.silver_stream(evaluated), path, os.path.join(root, "_checkpoints", "silver"),
@@ -220,18 +221,38 @@ def _health(lh):
                                           "duplicate_rows_dropped")
 
 
-@report("register_tables", BATCH["kpi_speeding_by_road"][1])
+#: Registered table -> a key column to look at.
+TABLE_KEYS = {"bronze": "kafka_offset", "silver": "kafka_offset", "quarantine": "kafka_offset", "fact_traffic": "vehicle_id",
+              "dim_zone": "city_zone", "dim_road": "road_id", "dim_zones_mart": "city_zone", "dim_roads_mart": "road_id",
+              "fct_hourly_traffic_kpis": "road_id", "agg_hourly_congestion": "road_id"}
+
+
+def _table_oracle() -> str:
+    """The same facts of each table from the oracle's CTEs."""
+    source = {"fact_traffic": "fact", "agg_hourly_congestion": "hours", "fct_hourly_traffic_kpis": "mart_hours"}
+    folders = {"fact_traffic": "(SELECT COUNT(*) FROM (SELECT DISTINCT event_date, event_hour FROM fact))",
+               "agg_hourly_congestion": "(SELECT COUNT(DISTINCT event_date) FROM fact)",
+               "fct_hourly_traffic_kpis": "(SELECT COUNT(DISTINCT event_date) FROM stg)"}
+    parts = [f"SELECT '{t}' AS table_name, COUNT(*) AS \"rows\", CAST(MIN({k}) AS VARCHAR) AS least_key, "
+             f"CAST(MAX({k}) AS VARCHAR) AS greatest_key, CAST({folders.get(t, '0')} AS BIGINT) AS partitions FROM {source.get(t, t)}"
+             for t, k in TABLE_KEYS.items()]
+    return with_base("\nUNION ALL\n".join(parts), extra_ctes="""
+hours AS (SELECT DISTINCT city_zone, road_id, event_date, event_hour FROM fact),
+mart_hours AS (SELECT DISTINCT event_date, event_hour, city_zone, road_id, is_peak_hour, is_weekend FROM stg)""")
+
+
+@report("register_tables", _table_oracle())
 def _register(lh):
-    """Every stored table of the lakehouse in a catalog database, queried with Spark SQL."""
+    """Every table of a stored lakehouse, by its name in a catalog database: rows, ends of a key, partition folders found."""
     stored = lh.materialize(os.path.join(checkpoint_dir(lh.spark), "lakehouse", uuid.uuid4().hex[:12]))
-    jobs.register_tables(lh.spark, stored._tables, DATABASE)
-    return lh.spark.sql("""
-        SELECT r.road_id, r.road_type, r.speed_limit_kmh,
-               COUNT(f.vehicle_id) AS total_sampled_vehicles,
-               CAST(SUM(CASE WHEN f.speed_kmh > r.speed_limit_kmh THEN 1 ELSE 0 END) AS BIGINT) AS speeding_count,
-               CAST(ROUND(CAST(AVG(f.speed_kmh - r.speed_limit_kmh) AS DECIMAL(30,10)), 2) AS DOUBLE) AS avg_speed_delta,
-               CAST(ROUND(CAST(try_divide(CAST(SUM(CASE WHEN f.speed_kmh > r.speed_limit_kmh THEN 1 ELSE 0 END) AS DOUBLE) * 100,
-                                          COUNT(f.vehicle_id)) AS DECIMAL(30,10)), 2) AS DOUBLE) AS speeding_violation_rate_pct
-        FROM telemetry.fact_traffic f JOIN telemetry.dim_road r ON f.road_id = r.road_id
-        GROUP BY r.road_id, r.road_type, r.speed_limit_kmh
-        ORDER BY speeding_violation_rate_pct DESC, r.road_id""")
+    names = jobs.register_tables(lh.spark, stored._tables, DATABASE)
+    out = None
+    for name in names:
+        table, key = f"{DATABASE}.{name}", TABLE_KEYS[name]
+        folders = 0
+        if any(c.isPartition for c in lh.spark.catalog.listColumns(table)):
+            folders = lh.spark.sql(f"SHOW PARTITIONS {table}").count()
+        found = lh.spark.sql(f"""SELECT '{name}' AS table_name, COUNT(*) AS rows, CAST(MIN({key}) AS STRING) AS least_key,
+            CAST(MAX({key}) AS STRING) AS greatest_key, {folders}L AS partitions FROM {table}""")
+        out = found if out is None else out.unionByName(found)
+    return out
