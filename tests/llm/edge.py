@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
 import tempfile
@@ -231,6 +232,33 @@ def periodic_rows(rows):
     return sorted(out, key=str)
 
 
+def digest(data: bytes) -> str:
+    """op9's fingerprint in plain Python: bucket counts of hashed byte triplets, as quartiles."""
+    counts, window = [0] * 128, [0] * 5
+    for byte in data:
+        window = [byte, *window[:4]]
+        for salt, (i, j) in enumerate(((1, 2), (1, 3), (2, 3), (2, 4), (1, 4), (3, 4)), 1):
+            key = byte + (window[i] << 8) + (window[j] << 16) + (salt << 24)
+            counts[(key * 0x9E3779B1) % 2 ** 32 // 2 ** 25] += 1
+    order = sorted(counts)
+    q1, q2, q3 = order[31], order[63], order[95]
+    size = min(255, round(math.log1p(len(data)) / math.log(1.1)))
+    out = f"{size:02x}{min(15, q1 * 16 // max(1, q3)):x}{min(15, q2 * 16 // max(1, q3)):x}"
+    quarters = [(c > q1) + (c > q2) + (c > q3) for c in counts]
+    return out + "".join(f"{a * 64 + b * 16 + c * 4 + d:02x}" for a, b, c, d in zip(*[iter(quarters)] * 4))
+
+
+def digest_likeness(a: str, b: str) -> float:
+    """Likeness of two fingerprints, from their hexadecimal text."""
+    def parts(x):
+        body = [int(x[k:k + 2], 16) >> shift & 3 for k in range(4, len(x), 2) for shift in (6, 4, 2, 0)]
+        return int(x[:2], 16), int(x[2], 16), int(x[3], 16), body
+
+    (n, r, s, x), (m, t, u, y) = parts(a), parts(b)
+    total = 4 * (abs(n - m) + abs(r - t) + abs(s - u)) + sum((0, 1, 2, 6)[abs(p - q)] for p, q in zip(x, y))
+    return 1 - min(total, 400) / 400
+
+
 def write_tables(spark: SparkSession, folder: str, empty: bool = False) -> str:
     rows = documents()
     docs = frame(spark, rows)

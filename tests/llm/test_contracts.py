@@ -424,6 +424,24 @@ def test_token_ties():
         for _ in range(20):
             s = "".join(rng.choice("abcd x") for _ in range(rng.randint(0, 14)))
             assert counter.text(s) == len(want.encode(s, add_special_tokens=False).ids), (pairs, s)
+            for w in s.split(" "):
+                assert counter._viterbi_long(w) == counter._viterbi(w), (pairs, w)
+
+
+def test_token_of_a_very_long_word():
+    """Memory follows the longest piece, not the word; the count is the short form's."""
+    import tracemalloc
+    vocabulary, _ = tokens.load_vocabulary()
+    counter = tokens.UnigramCounter(vocabulary)
+    rng = random.Random(8)
+    some = ["the", "tion", "日本", "é", "🎉", "0", "zzz", "\u0378"]
+    word = "".join(rng.choice(some) for _ in range(60_000))
+    assert counter._viterbi_long(word[:9_000]) == counter._viterbi(word[:9_000])
+    tracemalloc.start()
+    counter.text(word)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 16 * len(word) and not counter.known
 
 
 # --- op9 ------------------------------------------------------------------------
@@ -435,9 +453,9 @@ def test_digest_edge(spark, edge_dir):
     for (d, t), (_, after) in zip(order, order[1:] + order[:1], strict=True):
         third = len(t) // 3
         edited = t[:len(t) - third] + after[:third]
-        own, new, following = (digest.codes([x.encode()]) for x in (t, edited, after))
-        want.append((d, len(t), edge.sha(edited.encode()), digest.to_hex(own)[0], digest.to_hex(new)[0],
-                     float(digest.likeness(own, new)[0]), float(digest.likeness(own, following)[0])))
+        own, new, following = (edge.digest(x.encode()) for x in (t, edited, after))
+        want.append((d, len(t), edge.sha(edited.encode()), own, new, edge.digest_likeness(own, new),
+                     edge.digest_likeness(own, following)))
     got = rows(QUERIES["op9_digest"](spark, edge_dir))
     assert got == sorted(want, key=str)
     assert all(0 <= r[5] <= 1 and 0 <= r[6] <= 1 for r in got)

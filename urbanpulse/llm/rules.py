@@ -150,15 +150,18 @@ def ablate(entries: DataFrame, policies: Mapping[str, int] = POLICIES, failed: s
     spark = entries.sparkSession
     patterns = entries.groupBy(F.col(failed).alias("bits")).agg(F.count(F.lit(1)).alias("times"))
     asked = [(v, m, k, r.name, 1 << k) for v, m in policies.items() for k, r in enumerate(RULES) if m >> k & 1]
-    plan = spark.createDataFrame(asked, "policy string, mask long, bit int, rule string, own long")
+    each = F.explode(F.array(*(F.struct(F.lit(v).alias("policy"), F.lit(m).cast("long").alias("mask"), F.lit(k).alias("bit"),
+                                        F.lit(own).cast("long").alias("own")) for v, m, k, _, own in asked)))
+    told = patterns.select("bits", "times", each.alias("p")).select("bits", "times", "p.*")
     inside = F.col("bits").bitwiseAND(F.col("mask"))
     has = inside.bitwiseAND(F.col("own")) != 0
 
     def total(condition: Column, name: str) -> Column:
-        return F.coalesce(F.sum(F.when(condition, F.col("times"))), F.lit(0)).cast("long").alias(name)
-
-    # at most 2 ** rules patterns against the few rules asked for
-    return (plan.join(F.broadcast(patterns), F.lit(True), "left").groupBy("policy", "bit", "rule")
-            .agg(total(F.col("bits").isNotNull(), "docs"), total(inside == 0, "kept"), total(has, "failing"),
-                 total(inside == F.col("own"), "only_rule"), total(has & (inside != F.col("own")), "with_others"))
-            .orderBy("policy", "bit"))
+        return F.sum(F.when(condition, F.col("times")).otherwise(F.lit(0))).alias(name)
+
+    counts = told.groupBy("policy", "bit").agg(
+        F.sum("times").alias("docs"), total(inside == 0, "kept"), total(has, "failing"),
+        total(inside == F.col("own"), "only_rule"), total(has & (inside != F.col("own")), "with_others"))
+    plan = spark.createDataFrame([(v, k, name) for v, _, k, name, _ in asked], "policy string, bit int, rule string")
+    return plan.join(counts, ["policy", "bit"], "left").na.fill(0).select("policy", "bit", "rule", *counts.columns[2:]).orderBy(
+        "policy", "bit")

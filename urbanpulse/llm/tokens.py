@@ -12,8 +12,10 @@ token, or, with byte fallback, one token a byte.  Scores are double precision.
 
 The vocabulary is read on the driver from a model file (its path is a
 parameter), is bounded by ``MAX_VOCABULARY`` pieces and travels with the tasks.
-Counts of words seen before are kept in each task, up to ``CACHE_WORDS``; that
-bounds memory and changes no result.
+Counts of words seen before are kept in each task, up to ``CACHE_WORDS`` of at most
+``LONG_WORD`` characters.  In a longer word (a text without a space is one word) no piece
+reaches back further than the longest piece, so scores and counts are held for that many
+positions: memory follows the vocabulary, not the word.  Neither changes a result.
 
 Nulls and empty texts: no tokens.  Repeated rows count alike.  An empty table
 gives an empty result.  Extra columns are left alone.
@@ -35,6 +37,8 @@ from .common import whole_text
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MAX_VOCABULARY = 1_000_000
 CACHE_WORDS = 1_000_000
+#: Longer words are not kept, and their scores are held for the last piece's length only.
+LONG_WORD = 1_024
 SPACE_MARK = "▁"
 UNKNOWN_PENALTY = 10.0
 
@@ -75,6 +79,8 @@ class UnigramCounter:
         """Pieces of one word (no space inside)."""
         count = self.known.get(word)
         if count is None:
+            if len(word) > LONG_WORD:
+                return self._viterbi_long(word)
             if len(self.known) >= CACHE_WORDS:
                 self.known.clear()
             count = self.known[word] = self._viterbi(word)
@@ -122,6 +128,53 @@ class UnigramCounter:
             close(end)
         return pieces[size]
 
+    def _viterbi_long(self, word: str) -> int:
+        """As ``_viterbi``, with places for the last positions only."""
+        if self.automaton is None:
+            self._build()
+        ring = max((len(p) for p, _ in self.vocabulary), default=1) + 2
+        best, pieces, odd = [-inf] * ring, [0] * ring, [False] * ring
+        best[0] = 0.0
+
+        def open_(end: int) -> None:
+            """No path leads to ``end`` yet."""
+            best[end % ring], odd[end % ring] = -inf, False
+
+        def close(end: int) -> None:
+            at, before = end % ring, (end - 1) % ring
+            other = best[before] + self.unknown
+            if other > best[at]:
+                best[at] = other
+                if self.byte_fallback:
+                    pieces[at] = pieces[before] + len(word[end - 1].encode())
+                else:
+                    pieces[at] = pieces[before] + (not odd[before])
+                odd[at] = True
+
+        now, single = 0, True
+        for last, (length, value) in self.automaton.iter(word):
+            if last >= now:
+                if not single:
+                    close(now)
+                for end in range(now + 1, last + 1):
+                    open_(end)
+                    close(end)
+                now, single = last + 1, False
+                open_(now)
+            start, at = (now - length) % ring, now % ring
+            candidate = best[start] + value
+            if candidate > best[at]:
+                best[at] = candidate
+                pieces[at] = pieces[start] + 1
+            if length == 1:
+                single = True
+        if not single:
+            close(now)
+        for end in range(now + 1, len(word) + 1):
+            open_(end)
+            close(end)
+        return pieces[len(word) % ring]
+
     def text(self, text: str) -> int:
         """Pieces of a whole text."""
         if not text:
