@@ -12,6 +12,9 @@ rows to the same partitions; a new checkpoint has a new query id and touches no
 rows.  Dimensions are inserted if absent.  Only what earlier batches stored counts as seen, never the
 batch's own rows of a former attempt.
 
+The fact of a micro-batch lies by date and batch, clustered by hour; ``gold.write_fact`` gives the layout by date
+and hour where it is stored for good.
+
 Duplicates are found against the stored keys of the event-time span that the batch covers
 (valid rows are at most some hours late), so no row is lost behind a watermark and no state store
 is needed.  The span's dates prune partitions and its bounds the row groups that are read.
@@ -96,7 +99,9 @@ def route_batch(batch: DataFrame, batch_id: int, root: str, query: str, clock: s
             fact = gold.fact_traffic(clean)
             for build, table, key in ((gold.dim_zone, "dim_zone", "city_zone"), (gold.dim_road, "dim_road", "road_id")):
                 jobs.insert_if_absent(build(clean, with_updated_at=True), paths[table], key)
-            write_batch(fact.hint("rebalance", *gold.FACT_PARTITIONS), paths["fact_traffic"], name, tuple(gold.FACT_PARTITIONS))
+            # by date, clustered by hour: a micro-batch has few rows an hour, and a folder for each would hold little else
+            clustered = fact.hint("rebalance", "event_date").sortWithinPartitions("event_date", "event_hour")
+            write_batch(clustered, paths["fact_traffic"], name, ("event_date",))
             states = rollup_states.partial_states(fact, spark.read.parquet(paths["dim_road"]))
             write_batch(states, paths["rollup_states"], name, ("event_date",))
             # last: from now on the batch's keys are seen, by other batches only
