@@ -55,3 +55,24 @@ def test_state_report_skew(spark):
     assert tuple(got) == ("s", 4, 5, 30, 4, 3, 3.0)
     empty = state.state_report(keys.limit(0), F.col("at"), "s", 4).first()
     assert tuple(empty) == ("s", 0, None, None, 4, 0, None)
+
+
+def test_vehicles_of_an_hour_share_groups(spark, scratch_dir):
+    """Very many vehicles make a few calls of the operator an hour; each vehicle's rows are still told apart."""
+    one = Lakehouse(spark, SF_SMALL).valid.select("raw_payload", "vehicle_id").first()
+    messages = spark.range(400).select(
+        F.replace(F.lit(one[0]), F.lit(f'"{one[1]}"'), F.concat(F.lit('"V-'), F.col("id") % 300, F.lit('"'))).alias("raw"), "id")
+    at = F.to_timestamp(F.lit("2024-01-05 10:00:30"))
+    messages = messages.select(
+        F.regexp_replace("raw", '"event_time":"[^"]*"', '"event_time":"2024-01-05T10:00:00+00:00"').alias("value"), at.alias("timestamp"),
+        F.lit("t").alias("topic"), F.lit(0).alias("partition"), F.col("id").alias("offset"))
+    jobs.use_rocksdb_state(spark)
+    for _ in range(2):
+        messages.write.mode("append").parquet(f"{scratch_dir}/feed")
+        late.start_late_side_output(B.bronze(B.read_table_stream(spark, f"{scratch_dir}/feed", messages.schema)), scratch_dir,
+                                    clock="kafka_timestamp").awaitTermination()
+    clean = spark.read.parquet(f"{scratch_dir}/{late.SINKS['silver']}")
+    assert clean.count() == clean.select("vehicle_id").distinct().count() == 300
+    assert rows(spark.read.parquet(f"{scratch_dir}/{late.SINKS['side']}").groupBy("route").count()) == [("duplicate", 500)]
+    held = spark.read.format("statestore").option("stateVarName", "seen").load(f"{scratch_dir}/_checkpoints/late")
+    assert held.select("key").distinct().count() <= 8

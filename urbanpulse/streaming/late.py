@@ -1,10 +1,13 @@
 """Late and duplicate rows of a stream go to a side output.
 
-The built-in dedup drops what it does not pass on.  Here an arbitrary-state operator keeps the event times
-that it has seen, per vehicle and hour, and labels every row: ``clean`` (the first of its vehicle and
+The built-in dedup drops what it does not pass on.  Here an arbitrary-state operator keeps the vehicles and
+event times that it has seen, and labels every row: ``clean`` (the first of its vehicle and
 event time), ``duplicate``, ``late`` (at or behind the watermark when it came) or ``quarantine`` (invalid; it
 passes without state).  An event-time timer clears the state of an hour once the watermark has passed its end:
-the state is as large as that of the built-in dedup, and a hot vehicle is spread over its hours.
+the state is as large as that of the built-in dedup.
+
+The operator's key is an hour and one of ``HOUR_GROUPS`` groups, by a hash of vehicle and event time: a call
+and its few exchanges with the state store serve many vehicles, and a hot vehicle is spread within its hours too.
 
 No row is lost: rows in = clean + duplicate + late + quarantine.  Bronze is read once; one ``foreachBatch``
 writes silver and the side output, each by query and batch id, so a batch that runs again replaces its rows.
@@ -33,25 +36,27 @@ from urbanpulse.streaming import jobs, router
 
 LATE = "late"
 HOUR_US = 3_600_000_000
+#: Groups that the valid rows of an hour are dealt over; of those, each has its own state.
+HOUR_GROUPS = 8
 #: Invalid rows have no state; they are dealt over this many groups.
-INVALID_GROUPS = 4_096
+INVALID_GROUPS = 256
 SINKS = {"silver": "traffic_silver", "side": "traffic_side_output"}
 
 
 class LabelArrivals(StatefulProcessor):
-    """State of one vehicle and hour: the event times (microseconds) that were passed on, with their rows so far."""
+    """State of one group of an hour: the vehicles and event times (microseconds) that were passed on, with their rows in a batch."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.seen = handle.getMapState("seen", "event_us long", "rows long")
+        self.seen = handle.getListState("seen", "vehicle string, event_us long, rows long")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803 (Spark's names)
         mark = timerValues.getCurrentWatermarkInMs() * 1000
-        known: set[int] | None = None
-        counts: dict[int, int] = {}
+        known: set[tuple[str, int]] | None = None
+        counts: dict[tuple[str, int], int] = {}
         for part in rows:
             route = []
-            for at, valid in zip(part["k_event_us"].tolist(), part["k_valid"].tolist(), strict=True):
+            for vehicle, at, valid in zip(part["k_vehicle"].tolist(), part["k_event_us"].tolist(), part["k_valid"].tolist(), strict=True):
                 if not valid:
                     route.append(router.QUARANTINE)
                     continue
@@ -59,15 +64,14 @@ class LabelArrivals(StatefulProcessor):
                     route.append(LATE)
                     continue
                 if known is None:
-                    known = {k[0] for k in self.seen.keys()}
-                route.append(router.DUPLICATE if at in known or at in counts else router.CLEAN)
-                counts[at] = counts.get(at, 0) + 1
-            yield part.drop(columns=["k_vehicle", "k_hour", "k_event_us", "k_valid"]).assign(route=route)
-        for at, n in counts.items():
-            before = self.seen.getValue((at,))[0] if at in known else 0
-            self.seen.updateValue((at,), (before + n,))
+                    known = {(k[0], k[1]) for k in self.seen.get()}
+                one = (vehicle, at)
+                route.append(router.DUPLICATE if one in known or one in counts else router.CLEAN)
+                counts[one] = counts.get(one, 0) + 1
+            yield part.drop(columns=["k_vehicle", "k_hour", "k_group", "k_event_us", "k_valid"]).assign(route=route)
         if counts:
-            self.handle.registerTimer((int(key[1]) + 1) * HOUR_US // 1000)
+            self.seen.appendList([(*one, n) for one, n in counts.items()])
+            self.handle.registerTimer((int(key[0]) + 1) * HOUR_US // 1000)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
         self.seen.clear()
@@ -82,12 +86,14 @@ def label_stream(evaluated: DataFrame, delay: str = S.DEDUP_WATERMARK) -> DataFr
     valid = F.col("dq_status") == S.STATUS_VALID
     micros = F.unix_micros("event_ts")
     spread = -F.pmod(F.xxhash64("kafka_topic", "kafka_partition", "kafka_offset"), F.lit(INVALID_GROUPS)) - 1
+    group = F.pmod(F.xxhash64("vehicle_id", "event_ts"), F.lit(HOUR_GROUPS))
     rows = (evaluated.withColumn("k_mark", F.when(valid, F.col("event_ts"))).withWatermark("k_mark", delay)
             .withColumns({"k_vehicle": F.when(valid, F.col("vehicle_id")),
                           "k_hour": F.when(valid, F.floor(micros / HOUR_US)).otherwise(spread).cast("long"),
+                          "k_group": F.when(valid, group).otherwise(F.lit(0)).cast("long"),
                           "k_event_us": F.coalesce(micros, F.lit(0)).cast("long"), "k_valid": valid}).drop("k_mark"))
     out = T.StructType([*evaluated.schema.fields, T.StructField("route", T.StringType())])
-    return rows.groupBy("k_vehicle", "k_hour").transformWithStateInPandas(
+    return rows.groupBy("k_hour", "k_group").transformWithStateInPandas(
         statefulProcessor=LabelArrivals(), outputStructType=out, outputMode="Append", timeMode="EventTime")
 
 
