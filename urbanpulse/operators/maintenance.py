@@ -14,8 +14,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 TARGET_BYTES = 128 << 20
+#: Bytes of rows, before the shuffle compresses them, that one task of a rewrite takes.
+TASK_BYTES = 256 << 20
 
 
 # ---------------------------------------------------------------------------
@@ -27,6 +30,26 @@ def file_count(stored: DataFrame, target_bytes: int = TARGET_BYTES) -> int:
     return max(1, math.ceil(size / target_bytes))
 
 
+def row_bytes(stored: DataFrame) -> int:
+    """Bytes of a table's rows outside its files: a word per column, and the lengths of text, binary and nested values.
+
+    One aggregate over the columns of varying length; a file may hold many times its size in rows.
+    """
+    varying = []
+    for f in stored.schema.fields:
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            varying.append(F.octet_length(f.name))
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType)):
+            varying.append(F.octet_length(F.col(f.name).cast("string")))
+    rows, *lengths = stored.agg(F.count(F.lit(1)), *(F.sum(c) for c in varying)).first()
+    return rows * 8 * (len(stored.columns) + 1) + sum(n or 0 for n in lengths)
+
+
+def task_count(stored: DataFrame, target_bytes: int = TARGET_BYTES) -> int:
+    """Tasks, one file each, of a rewrite: as many as there are files to be, or more where the rows of a file exceed ``TASK_BYTES``."""
+    return max(file_count(stored, target_bytes), math.ceil(row_bytes(stored) / TASK_BYTES))
+
+
 def _tie(df: DataFrame) -> Column:
     """A number that spreads rows with equal keys: range partitioning alone keeps them together."""
     return F.xxhash64(*df.columns)
@@ -119,13 +142,13 @@ def zorder_rewrite(stored: DataFrame, path: str, columns: Sequence[str], bits: i
     Rows close in every Z column land in the same files, so min/max file
     statistics skip files for a predicate on any one of them.  Within a Z value the
     columns themselves and a tie break go on dividing, so few distinct values or a
-    hot one still use as many tasks as there are files.
+    hot one still use as many tasks as there are files (``task_count``).
     """
     bounds = z_bucket_bounds(stored, columns, bits)
-    rows = stored.withColumn("_tie", _tie(stored)).withColumn("_z", z_value(columns, bounds, bits))
+    rows = stored.withColumn("_z", z_value(columns, bounds, bits))
     order = ["_z", *columns]
-    _overwrite(rows.repartitionByRange(file_count(stored, target_bytes), *order, "_tie")
-               .sortWithinPartitions(*order).drop("_z", "_tie"), path)
+    _overwrite(rows.repartitionByRange(task_count(stored, target_bytes), *order, _tie(stored))
+               .sortWithinPartitions(*order).drop("_z"), path)
 
 
 # ---------------------------------------------------------------------------
