@@ -143,3 +143,27 @@ def test_versions(spark, scratch_dir):
     out = os.path.join(scratch_dir, "restored")
     V.restore_as_of(versioned, out, 20, 30, F.lit("2024-02-01").cast("timestamp"), keys=["k"], order=["commit_id", "x"])
     assert sorted((r["k"], r["x"], r["commit_id"]) for r in spark.read.parquet(out).collect()) == [("A", 3, 30), ("B", 1, 30)]
+
+
+def test_rows_of_a_task_are_bounded(spark, scratch_dir, monkeypatch):
+    """A file may hold many times its size in rows: tasks follow the rows where these are more."""
+    path = os.path.join(scratch_dir, "in")
+    spark.range(8_000).select((F.col("id") % 5).alias("k"), F.repeat(F.lit("x"), 1_000).alias("x"), "id").write.parquet(path)
+    stored = spark.read.parquet(path)
+    assert V.file_count(stored) == 1
+    monkeypatch.setattr(V, "TASK_BYTES", 1 << 20, raising=False)
+    for write in ("compact", "spread", "zorder"):
+        out = os.path.join(scratch_dir, write)
+        if write == "zorder":
+            V.zorder_rewrite(stored, out, ["k"])
+        else:
+            V.compact(stored, out, sort_by=["k"] if write == "compact" else None)
+        share, files = _share_of_largest(spark, out)
+        assert files >= 7 and share < 0.25, (write, share, files)
+        assert _multiset(spark.read.parquet(out)) == _multiset(stored)
+
+
+def test_row_bytes(spark):
+    rows = spark.createDataFrame([(1, "abc", None), (2, None, [1, 2])], "a int, b string, c array<int>")
+    assert V.row_bytes(rows) == 2 * 8 * 4 + 3 + len("[1, 2]")
+    assert V.row_bytes(rows.limit(0)) == 0

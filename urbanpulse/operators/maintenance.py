@@ -64,7 +64,7 @@ def _overwrite(df: DataFrame, path: str, partition_by: Sequence[str] | None = No
 
 def compact(stored: DataFrame, path: str, partition_by: Sequence[str] | None = None,
             sort_by: Sequence[str] | None = None, target_bytes: int = TARGET_BYTES) -> None:
-    """Rewrite a stored table into files of about ``target_bytes`` (V1).
+    """Rewrite a stored table into files of about ``target_bytes``, or of ``TASK_BYTES`` of rows where that is less (V1).
 
     Without ``partition_by`` the rows are range partitioned by ``sort_by`` and a tie
     break, so a hot key is cut into as many files as it fills.  With it, AQE's
@@ -75,11 +75,10 @@ def compact(stored: DataFrame, path: str, partition_by: Sequence[str] | None = N
         if sort_by:
             out = out.sortWithinPartitions(*partition_by, *sort_by)
         return _overwrite(out, path, partition_by)
-    n = file_count(stored, target_bytes)
+    n = task_count(stored, target_bytes)
     if not sort_by:
         return _overwrite(stored.repartition(n), path)
-    rows = stored.withColumn("_tie", _tie(stored))
-    _overwrite(rows.repartitionByRange(n, *sort_by, "_tie").sortWithinPartitions(*sort_by).drop("_tie"), path)
+    _overwrite(stored.repartitionByRange(n, *sort_by, _tie(stored)).sortWithinPartitions(*sort_by), path)
 
 
 #: Values of a column that its bounds are taken from, per bucket.
