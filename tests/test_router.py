@@ -121,3 +121,21 @@ def test_only_invalid_rows(spark, lake, scratch_dir):
     stream = B.read_table_stream(spark, f"{scratch_dir}/bronze", jobs.bronze_schema(spark))
     router.start_router(stream, f"{scratch_dir}/out", clock="kafka_timestamp").awaitTermination()
     assert spark.read.parquet(f"{scratch_dir}/out/traffic_quarantine").count() == bad.count()
+
+
+def test_kept_parts_are_bounded(spark, lake, scratch_dir, monkeypatch):
+    """One file of bronze is kept in parts of about ``ROWS_PER_PART`` rows."""
+    kept, valid_rows = [], router.silver.valid_rows
+
+    def watched(rows_):
+        kept.append([r[1] for r in rows_.groupBy(F.spark_partition_id()).count().collect()])
+        return valid_rows(rows_)
+
+    monkeypatch.setattr(router, "ROWS_PER_PART", 5, raising=False)
+    monkeypatch.setattr(router.silver, "valid_rows", watched)
+    stream = bronze_files(lake, f"{scratch_dir}/bronze", 1)
+    router.start_router(stream, f"{scratch_dir}/out", clock="kafka_timestamp").awaitTermination()
+    monkeypatch.undo()
+    n = lake.bronze.count()
+    assert n > 40 and sum(kept[0]) == n and max(kept[0]) < n / 2
+    check(lake, f"{scratch_dir}/out")

@@ -1,7 +1,8 @@
 """One read of bronze, every sink of a micro-batch.
 
 ``start_router`` runs one ``foreachBatch`` query over bronze.  A micro-batch is evaluated once and
-kept for the time of its writes; each row is routed to exactly one of clean, duplicate and
+kept for the time of its writes, dealt by its keys and not as its files lie: a bronze file of few bytes holds
+very many rows, and a part that is kept is read whole by one task.  Each row is routed to exactly one of clean, duplicate and
 quarantine.  From the clean rows of the batch the same function writes the fact, new
 dimension keys and the hour states of the rollup (``operators.rollup_states``): no
 other query reads or parses bronze again.
@@ -34,6 +35,8 @@ from urbanpulse.sources import bronze as B
 from urbanpulse.streaming import jobs
 
 CLEAN, DUPLICATE, QUARANTINE = "clean", "duplicate", "quarantine"
+#: Rows of a micro-batch that one part holds while it is kept.
+ROWS_PER_PART = 250_000
 SINKS = ("traffic_silver", "traffic_quarantine", "traffic_duplicates", "fact_traffic", "rollup_states")
 
 
@@ -62,14 +65,24 @@ def seen_keys(spark: SparkSession, path: str, lo, hi, batch: str) -> DataFrame |
             .select(*silver.DEDUP_KEYS))
 
 
-def with_route(evaluated: DataFrame, seen: DataFrame | None = None) -> DataFrame:
-    """Every row with its ``route``; the first arrival of a key that is not ``seen`` yet is clean."""
+def ranked(evaluated: DataFrame, parts: int | None = None) -> DataFrame:
+    """Every row with ``_nth``, its place among the arrivals of its key; in so many parts (default: as the session shuffles)."""
     valid = F.col("dq_status") == S.STATUS_VALID
     # invalid rows have no key to meet on: they are spread by their offset
-    keys = [F.when(valid, F.col(k)) for k in silver.DEDUP_KEYS]
     own = F.when(~valid, F.xxhash64("kafka_topic", "kafka_partition", "kafka_offset"))
-    first = Window.partitionBy(*keys, own).orderBy(*silver.ARRIVAL_ORDER)
-    rows = evaluated.withColumn("_nth", F.row_number().over(first))
+    keys = ["_vehicle", "_event", "_own"]
+    rows = evaluated.withColumns({
+        "_vehicle": F.when(valid, F.col("vehicle_id")), "_event": F.when(valid, F.col("event_ts")), "_own": own})
+    if parts:
+        rows = rows.repartition(parts, *keys)
+    first = Window.partitionBy(*keys).orderBy(*silver.ARRIVAL_ORDER)
+    return rows.withColumn("_nth", F.row_number().over(first)).drop(*keys)
+
+
+def with_route(rows: DataFrame, seen: DataFrame | None = None) -> DataFrame:
+    """Every ``ranked`` row with its ``route``; the first arrival of a key that is not ``seen`` yet is clean."""
+    valid = F.col("dq_status") == S.STATUS_VALID
+    columns = [c for c in rows.columns if c != "_nth"]
     if seen is None:
         known: Column = F.lit(False)
     else:
@@ -77,18 +90,24 @@ def with_route(evaluated: DataFrame, seen: DataFrame | None = None) -> DataFrame
         rows = rows.join(marks, [F.col(k) == F.col(f"_{k}") for k in silver.DEDUP_KEYS], "left")
         known = F.coalesce("_known", F.lit(False))
     route = (F.when(~valid, F.lit(QUARANTINE)).when(known | (F.col("_nth") > 1), F.lit(DUPLICATE)).otherwise(F.lit(CLEAN)))
-    return rows.withColumn("route", route).select(*evaluated.columns, "route")
+    return rows.withColumn("route", route).select(*columns, "route")
+
+
+def parts_of(batch: DataFrame) -> int | None:
+    """Parts that hold a micro-batch of ``ROWS_PER_PART`` rows each; None where the session's number does."""
+    parts = -(-batch.count() // ROWS_PER_PART)
+    return parts if parts > int(batch.sparkSession.conf.get("spark.sql.shuffle.partitions")) else None
 
 
 def route_batch(batch: DataFrame, batch_id: int, root: str, query: str, clock: str) -> None:
     """All writes of one micro-batch of bronze."""
     spark = batch.sparkSession
     paths, name = sink_paths(root), f"{query}-{batch_id}"
-    evaluated = quality.evaluate(batch, clock=clock, processed_at=F.col(clock)).persist()
+    arrived = ranked(quality.evaluate(batch, clock=clock, processed_at=F.col(clock)), parts_of(batch)).persist()
     try:
-        valid = silver.valid_rows(evaluated)
+        valid = silver.valid_rows(arrived)
         lo, hi = valid.agg(F.min("event_ts"), F.max("event_ts")).first()
-        routed = with_route(evaluated, seen_keys(spark, paths["traffic_silver"], lo, hi, name)).persist()
+        routed = with_route(arrived, seen_keys(spark, paths["traffic_silver"], lo, hi, name)).persist()
         try:
             write_batch(quality.quarantine(routed.where(F.col("route") == QUARANTINE)), paths["traffic_quarantine"], name)
             keys = ["kafka_topic", "kafka_partition", "kafka_offset", "kafka_timestamp", *silver.DEDUP_KEYS]
@@ -110,7 +129,7 @@ def route_batch(batch: DataFrame, batch_id: int, root: str, query: str, clock: s
         finally:
             routed.unpersist()
     finally:
-        evaluated.unpersist()
+        arrived.unpersist()
 
 
 def start_router(bronze_stream: DataFrame, root: str, clock: str = "ingestion_ts",
