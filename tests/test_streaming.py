@@ -124,3 +124,15 @@ def test_batches_span_arrival_time_at_any_size(spark, scratch_dir, monkeypatch):
     assert len(want) > 400
     for name in ("traffic_silver", "fact_traffic"):
         assert _rows(spark.read.parquet(paths[name]).select(*keys)) == want
+
+
+def test_fact_sink_gathers_an_hour(spark, scratch_dir):
+    """A micro-batch of many files writes a file an hour, not one from every task."""
+    source = Lakehouse(spark, SF_SMALL).silver.where("event_ts < '2024-01-03'")
+    source.repartition(6).write.parquet(f"{scratch_dir}/silver")
+    stored = B.read_table_stream(spark, f"{scratch_dir}/silver", spark.read.parquet(f"{scratch_dir}/silver").schema)
+    for query in jobs.start_gold(stored, f"{scratch_dir}/out"):
+        query.awaitTermination()
+    fact = spark.read.parquet(f"{scratch_dir}/out/fact_traffic")
+    assert fact.count() == source.count()
+    assert len(fact.inputFiles()) == source.select(F.date_trunc("hour", "event_ts")).distinct().count()

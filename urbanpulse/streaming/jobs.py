@@ -114,10 +114,14 @@ def start_dimension(silver_stream: DataFrame, path: str, checkpoint: str, name:
 
 
 def start_gold(silver_stream: DataFrame, root: str, trigger: dict | None = None) -> list[StreamingQuery]:
-    """Fact (partitioned by date and hour) and both dimensions."""
+    """Fact (partitioned by date and hour) and both dimensions.
+
+    ``rebalance`` gathers an hour of a micro-batch before the sink: a folder gets a file for a batch and not one
+    from every task, each of which the task reports to the driver.
+    """
     ck = os.path.join(root, "_checkpoints")
     return [
-        stream_append(gold.fact_traffic(silver_stream), os.path.join(root, "fact_traffic"),
+        stream_append(gold.fact_traffic(silver_stream).hint("rebalance", *gold.FACT_PARTITIONS), os.path.join(root, "fact_traffic"),
                       os.path.join(ck, "fact"), "GoldFactStream",
                       partition_by=gold.FACT_PARTITIONS, trigger=trigger),
         start_dimension(silver_stream, os.path.join(root, "dim_zone"), os.path.join(ck, "dim_zone"),
