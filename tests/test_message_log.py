@@ -3,6 +3,7 @@
 import glob
 import os
 
+import pyarrow as pa
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
@@ -135,3 +136,22 @@ def test_lost_range(spark, messages, scratch_dir):
     # a new reader starts at the earliest offset that is left
     left = M.read_log(spark, log, failOnDataLoss="false")
     assert left.where("partition = 0").count() < messages.where("partition = 0").count()
+
+
+def test_a_file_is_read_in_pieces(spark, scratch_dir):
+    """What a reading task holds does not grow with the file."""
+    log, n = f"{scratch_dir}/log", 160_000
+    text = F.concat(*(F.sha2(F.concat_ws("-", "id", F.lit(k)), 512) for k in range(4)))
+    own = spark.range(n).select(
+        text.alias("value"), F.timestamp_seconds("id").alias("timestamp"), F.lit("t").alias("topic"), F.lit(0).alias("partition"),
+        F.col("id").alias("offset"))
+    M.append_messages(own, log)
+    held = M.Log({"path": log})
+    size = max(s.bytes for found in held.segments().values() for s in found)
+    base, most, offsets = pa.total_allocated_bytes(), 0, []
+    for part in held.plan(held.start("earliest"), held.end()):
+        for batch in held.read(part):
+            most = max(most, pa.total_allocated_bytes() - base)
+            offsets += batch.column("offset").to_pylist()
+    assert sorted(offsets) == list(range(n))
+    assert size > 10 << 20 and most < size

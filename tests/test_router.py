@@ -139,3 +139,24 @@ def test_kept_parts_are_bounded(spark, lake, scratch_dir, monkeypatch):
     n = lake.bronze.count()
     assert n > 40 and sum(kept[0]) == n and max(kept[0]) < n / 2
     check(lake, f"{scratch_dir}/out")
+
+
+def test_kept_rows_are_on_disk(spark, lake, scratch_dir, monkeypatch):
+    """No executor's heap holds rows of the micro-batch between its writes; without stored keys they are kept once."""
+    def stored():
+        return {r.id(): (r.memSize(), r.diskSize()) for r in spark.sparkContext._jsc.sc().getRDDStorageInfo()}
+
+    before, write, kept = set(stored()), router.write_batch, {}
+
+    def watched(df, path, batch, partition_by=()):
+        write(df, path, batch, partition_by)
+        kept.setdefault(batch, []).append([v for k, v in stored().items() if k not in before])
+
+    monkeypatch.setattr(router, "write_batch", watched)
+    stream = bronze_files(lake, f"{scratch_dir}/bronze", 2)
+    router.start_router(stream, f"{scratch_dir}/out", clock="kafka_timestamp").awaitTermination()
+    monkeypatch.undo()
+    first, second = (kept[b] for b in sorted(kept))
+    assert all(memory == 0 and disk > 0 for found in first + second for memory, disk in found)
+    assert {len(found) for found in first} == {1} and len(second[0]) == 2
+    check(lake, f"{scratch_dir}/out")

@@ -53,6 +53,8 @@ from urbanpulse import schemas as S
 
 ROWS_PER_FILE = 1_000_000
 BYTES_PER_TASK = 128 << 20
+#: Messages that a reading task holds at a time, and bytes of each column that it reads ahead.
+ROWS_PER_READ, READ_AHEAD = 8192, 1 << 20
 EARLIEST, LATEST = -2, -1
 Offsets = dict[str, dict[str, int]]
 
@@ -254,11 +256,13 @@ class Log:
         return json.loads(lines[2]) if len(lines) > 2 and lines[2] != "-" else None
 
     def read(self, part: LogRange) -> Iterator[pa.RecordBatch]:
-        """Messages of a range as Arrow batches."""
+        """Messages of a range as Arrow batches; pages are read as they are needed, never a whole column of a file."""
         system, root = open_folder(f"{self.path}/data")
         for file in part.files:
             with system.open_input_file(f"{root}/{file}") as f:
-                for batch in pq.ParquetFile(f).iter_batches(columns=["value", "timestamp", "offset", "position"]):
+                held = pq.ParquetFile(f, pre_buffer=False, buffer_size=READ_AHEAD)
+                for batch in held.iter_batches(ROWS_PER_READ, columns=["value", "timestamp", "offset", "position"],
+                                               use_threads=False):
                     at = batch.column("position")
                     batch = batch.filter(pc.and_(pc.greater_equal(at, part.start), pc.less(at, part.end)))
                     n = batch.num_rows

@@ -2,7 +2,8 @@
 
 ``start_router`` runs one ``foreachBatch`` query over bronze.  A micro-batch is evaluated once and
 kept for the time of its writes, dealt by its keys and not as its files lie: a bronze file of few bytes holds
-very many rows, and a part that is kept is read whole by one task.  Each row is routed to exactly one of clean, duplicate and
+very many rows, and a part that is kept is read whole by one task.  It is kept on the executors' disks: their heaps hold
+what their tasks work on, whatever the size of the batch.  Each row is routed to exactly one of clean, duplicate and
 quarantine.  From the clean rows of the batch the same function writes the fact, new
 dimension keys and the hour states of the rollup (``operators.rollup_states``): no
 other query reads or parses bronze again.
@@ -25,6 +26,7 @@ from __future__ import annotations
 
 import os
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -36,7 +38,7 @@ from urbanpulse.streaming import jobs
 
 CLEAN, DUPLICATE, QUARANTINE = "clean", "duplicate", "quarantine"
 #: Rows of a micro-batch that one part holds while it is kept.
-ROWS_PER_PART = 250_000
+ROWS_PER_PART = 100_000
 SINKS = ("traffic_silver", "traffic_quarantine", "traffic_duplicates", "fact_traffic", "rollup_states")
 
 
@@ -103,11 +105,15 @@ def route_batch(batch: DataFrame, batch_id: int, root: str, query: str, clock: s
     """All writes of one micro-batch of bronze."""
     spark = batch.sparkSession
     paths, name = sink_paths(root), f"{query}-{batch_id}"
-    arrived = ranked(quality.evaluate(batch, clock=clock, processed_at=F.col(clock)), parts_of(batch)).persist()
+    evaluated = quality.evaluate(batch, clock=clock, processed_at=F.col(clock))
+    arrived = ranked(evaluated, parts_of(batch)).persist(StorageLevel.DISK_ONLY)
     try:
         valid = silver.valid_rows(arrived)
         lo, hi = valid.agg(F.min("event_ts"), F.max("event_ts")).first()
-        routed = with_route(arrived, seen_keys(spark, paths["traffic_silver"], lo, hi, name)).persist()
+        seen = seen_keys(spark, paths["traffic_silver"], lo, hi, name)
+        routed = with_route(arrived, seen)
+        if seen is not None:  # else a projection of what is kept already
+            routed = routed.persist(StorageLevel.DISK_ONLY)
         try:
             write_batch(quality.quarantine(routed.where(F.col("route") == QUARANTINE)), paths["traffic_quarantine"], name)
             keys = ["kafka_topic", "kafka_partition", "kafka_offset", "kafka_timestamp", *silver.DEDUP_KEYS]
